@@ -26,10 +26,12 @@ _TIME = (
 
 # The plain form, in years that are always within the range above.
 _PLAIN = r"^(?:1[7-9]|2[01])\d\d-\d{1,2}-\d{1,2}$"
+_PLAIN_DAY_FIRST = r"^(\d{1,2})[-/.](\d{1,2})[-/.]((?:1[7-9]|2[01])\d\d)$"
 
 _YEAR_FIRST = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
 _YEAR_FIRST_OTHER = r"^(\d{4})[/. ](\d{1,2})[/. ](\d{1,2})$"
 _DAY_FIRST = r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4})$"
+_SECOND_IS_MONTH = r"^\d{1,2}[-/. ](?:0?[1-9]|1[0-2])[-/. ]"
 _SHORT_YEAR = r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{2})$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _YEAR_MONTH = r"^(\d{4})(?:[-/.](\d{1,2}))?$"
@@ -45,9 +47,11 @@ def _read(text: Column, pattern: str, order: str) -> Column:
 
 
 def _day_first(text: Column, pattern: str, year: str) -> Column:
-    return F.coalesce(
-        _read(text, pattern, f"{year}-$2-$1"), _read(text, pattern, f"{year}-$1-$2")
+    """The second number is the month unless it cannot be one."""
+    order = F.when(text.rlike(_SECOND_IS_MONTH), F.lit(f"{year}-$2-$1")).otherwise(
+        F.lit(f"{year}-$1-$2")
     )
+    return F.regexp_replace(text, F.lit(pattern), order).try_cast("date")
 
 
 def _nearest_century(d: Column, this_year: int) -> Column:
@@ -100,17 +104,27 @@ def iso_date(c: Column, strict_dates: bool = False, this_year: int = 2025) -> Co
     day first, and month first only where day first is impossible.  A time of day
     is checked and dropped, and two-digit years fall within fifty years of
     ``this_year``.  Year-first text with other separators is read year-month-day,
-    or year-day-month with ``strict_dates``.  The plain form takes a short path.
+    or year-day-month with ``strict_dates``.  The two plain forms take a short path.
     """
 
     def in_range(d: Column) -> Column:
         return F.when(d.between(F.lit(FIRST_DAY), F.lit(LAST_DAY)), d)
 
     def other(cell: Column) -> Column:
-        day = _without_month_name(F.regexp_replace(strip(cell), _TIME, ""))
+        def without_time(text: Column) -> Column:
+            return F.when(text.contains(":"), F.regexp_replace(text, _TIME, "")).otherwise(text)
+
+        def numbers_only(text: Column) -> Column:
+            return F.when(text.rlike("[A-Za-z]{3}"), _without_month_name(text)).otherwise(text)
+
+        day = let(let(strip(cell), without_time), numbers_only)
         return let(let(day, lambda text: _read_any(text, strict_dates, this_year)), in_range)
 
-    return F.when(c.rlike(_PLAIN), c.try_cast("date")).when(c.isNotNull(), other(c))
+    return (
+        F.when(c.rlike(_PLAIN), c.try_cast("date"))
+        .when(c.rlike(_PLAIN_DAY_FIRST), _day_first(c, _PLAIN_DAY_FIRST, "$3"))
+        .when(c.isNotNull(), other(c))
+    )
 
 
 def date_or_default(c: Column, default: dt.date | None, strict_dates: bool = False) -> Column:

@@ -6,14 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Casting text that is no number is slow, so the form is checked first.
+_WHOLE = r"^\s*[-+]?\d+\s*$"
+_DECIMAL = r"^\s*[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?\s*$"
+_INT_LIMIT = 2147483648.0
+
+
 def lenient_int(c: Column) -> Column:
     """Whole-number text to integer; decimals and junk are null."""
-    return c.try_cast("int")
+    return F.when(c.rlike(_WHOLE), c.try_cast("int"))
 
 
 def whole_number(c: Column) -> Column:
     """Number text to integer, cutting decimals off; junk is null."""
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    value = F.when(c.rlike(_DECIMAL), c.try_cast("double"))
+    cut = F.when(F.abs(value) < _INT_LIMIT, value.cast("int"))
+    return F.when(c.rlike(_WHOLE), c.try_cast("int")).otherwise(cut)
 
 
 def strict_int(c: Column) -> Column:
@@ -30,7 +38,7 @@ def strict_int(c: Column) -> Column:
 def percent(c: Column) -> Column:
     """Cut to a whole number within 0 to 100; a missing value counts as 0, junk is null."""
     return F.when(c.isNull(), F.lit(0)).otherwise(
-        clamp_percent(c.try_cast("double"))
+        clamp_percent(F.when(c.rlike(_DECIMAL), c.try_cast("double")))
     )
 
 

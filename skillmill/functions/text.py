@@ -80,13 +80,17 @@ def json_field(c: Column, field: str) -> Column:
 # --- multilingual text, written code:text|code:text ---------------------------
 
 
+def _after_colon(c: Column) -> Column:
+    return c.substr(F.instr(c, ":") + 1, F.length(c))
+
+
 def _pairs(c: Column, clean: Callable[[Column], Column]) -> Column:
     with_colon = F.filter(F.split(c, r"\|"), lambda part: part.contains(":"))
     return F.transform(
         with_colon,
         lambda part: F.struct(
             clean(F.substring_index(part, ":", 1)).alias("code"),
-            clean(part.substr(F.instr(part, ":") + 1, F.length(part))).alias("text"),
+            clean(_after_colon(part)).alias("text"),
         ),
     )
 
@@ -106,7 +110,11 @@ def multilang_map(c: Column) -> Column:
         codes = F.array_distinct(F.transform(pairs, lambda p: p["code"]))
         return F.map_from_arrays(codes, F.transform(codes, lambda code: _last_text(pairs, code)))
 
-    return F.coalesce(let(_translations(c), to_map), empty_map())
+    code, words = strip(F.substring_index(c, ":", 1)), strip(_after_colon(c))
+    single = F.when(c.contains(":") & (code != "") & (words != ""), F.create_map(code, words))
+    # A single language, the usual case, needs no arrays.
+    several = F.when(c.contains("|"), let(_translations(c), to_map)).otherwise(single)
+    return F.coalesce(several, empty_map())
 
 
 def empty_map() -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,24 +17,33 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the last one by ``order``.
 
-    ``first_writer`` columns keep the value of the first row instead.  This is an
-    aggregate and not a window, so each map task ships one row per key it met
-    and a key that fills a third of the input does not fill one reduce task.
-    ``order`` must tell the rows of a key apart, or only tie rows that are equal.
+    ``first_writer`` columns keep the value of the first row instead.  ``order``
+    must tell the rows of a key apart, or only tie rows that are equal.  Both forms
+    reduce on the map side: the top-1 window becomes a group limit before the
+    shuffle, and the aggregate a partial one, so a key that fills a third of the
+    input still ships one row per map task.
     """
-    rest = [c for c in df.columns if c not in {*keys, *order, *first_writer}]
-    if keep_order:
-        rest += [c for c in order if c not in keys]
+    columns = [c for c in df.columns if c in keys or keep_order or c not in order]
+    if not first_writer:
+        newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        ranked = df.withColumn("_rank", F.row_number().over(newest))
+        return ranked.filter(F.col("_rank") == 1).select(*columns)
+    rest = [c for c in columns if c not in {*keys, *first_writer}]
     rank = F.struct(*order)
-    aggregates = [F.max_by(F.struct(*rest), rank).alias("_last")] if rest else []
-    if first_writer:
-        aggregates.append(F.min_by(F.struct(*first_writer), rank).alias("_first"))
-    if not aggregates:
-        return df.select(*keys).distinct()
-    taken = {**dict.fromkeys(rest, "_last"), **dict.fromkeys(first_writer, "_first")}
-    columns = [c for c in df.columns if c in keys or c in taken]
-    return df.groupBy(*keys).agg(*aggregates).select(
-        *[F.col(c) if c in keys else F.col(f"{taken[c]}.{c}") for c in columns]
+    return (
+        df.groupBy(*keys)
+        .agg(
+            F.max_by(F.struct(*rest, F.lit(1)), rank).alias("_last"),
+            F.min_by(F.struct(*first_writer), rank).alias("_first"),
+        )
+        .select(
+            *[
+                F.col(c)
+                if c in keys
+                else F.col(f"_first.{c}" if c in first_writer else f"_last.{c}")
+                for c in columns
+            ]
+        )
     )
 
 

@@ -106,7 +106,9 @@ def load(
             df = _empty(spark, model.schema(table)) if kept is None else kept
             done[table.name] = warehouse.stage(run, table.name, df)
         elif table in people_reports:
-            store(table, people_reports[table](report), None)
+            # Finding the person reads the rows twice, so the report is parsed first.
+            raw = warehouse.stage(run, f"raw/{table.name}", report)
+            store(table, people_reports[table](raw), None)
         else:
             store(table, transform.typed_rows(report, table, **options), cvs)
 

@@ -87,9 +87,7 @@ def typed_rows(
         if field.required and field.name != parent_key:
             problems.append((field.name, lost))
     reject = F.concat_ws(", ", *[F.when(bad, F.lit(name)) for name, bad in problems])
-    # Exploding one struct per row keeps a later filter on the reject list from
-    # being pushed below the conversions, which would run all of them twice.
-    converted = df.select(F.inline(F.array(F.struct(*values, *present))), *order)
+    converted = df.select(*values, *present, *order)
     return converted.select(
         *[f.name for f in table.fields], F.nullif(reject, F.lit("")).alias(REJECT), *order
     )

@@ -26,6 +26,9 @@ LINE_ORDER = (
     "l_returnflag",
 )
 
+# Orders the skill rows: years and proficiency follow from these, so ties are copies.
+SKILL_ORDER = ("l_linenumber", "l_quantity")
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -95,13 +98,13 @@ def skill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("technology"),
         F.col("l_quantity").cast("int").alias("years_experience"),
         (F.col("l_linenumber") % 6).alias("proficiency"),
-        *LINE_ORDER,
+        *SKILL_ORDER,
     )
 
 
 def technologies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cv_technology: the last row of each CV and technology."""
-    return latest_per_key(skill_rows(spark, sf_dir), model.CV_TECHNOLOGY.key, LINE_ORDER)
+    return latest_per_key(skill_rows(spark, sf_dir), model.CV_TECHNOLOGY.key, SKILL_ORDER)
 
 
 def clearances(spark: SparkSession, sf_dir: str) -> DataFrame:
