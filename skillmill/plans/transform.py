@@ -81,11 +81,11 @@ def typed_rows(
         value = given[field.name] if field.name in given else _value(field, cell, strict_dates)
         values.append(value.cast(kinds[field.name]).alias(field.name))
         lost = F.col(field.name).isNull()
-        if cell is not None and field.kind in _LOSSY and field.name not in given:
-            present.append(cell.isNotNull().alias(f"_has_{field.name}"))
-            problems.append((field.name, F.col(f"_has_{field.name}") & lost))
         if field.required and field.name != parent_key:
             problems.append((field.name, lost))
+        elif cell is not None and field.kind in _LOSSY and field.name not in given:
+            present.append(cell.isNotNull().alias(f"_has_{field.name}"))
+            problems.append((field.name, F.col(f"_has_{field.name}") & lost))
     reject = F.concat_ws(", ", *[F.when(bad, F.lit(name)) for name, bad in problems])
     converted = df.select(*values, *present, *order)
     return converted.select(
