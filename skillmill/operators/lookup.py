@@ -76,14 +76,19 @@ def _triple(columns: Sequence[str]) -> Column:
 
 
 def identity_keys(users: DataFrame, user_key: str, columns: Sequence[str] = IDENTITY) -> DataFrame:
-    """(tier, key) to user, the smallest user where several share a key."""
+    """(key, user) for every identifier in use, the smallest user where several share one."""
     return (
         users.select(F.col(user_key), F.explode(_tiers(columns)).alias("k"))
         .groupBy("k.tier", "k.key")
         .agg(F.min(user_key).alias(user_key))
+        .select(_tier_key(F.col("tier"), F.col("key")).alias("_identifier"), user_key)
     )
 
 
+def _tier_key(tier: Column, key: Column) -> Column:
+    return F.concat(tier.cast("string"), F.lit(":"), key)
+
+
 def resolve_identity(
     facts: DataFrame,
     users: DataFrame,
@@ -99,10 +104,11 @@ def resolve_identity(
     """
     named = facts.withColumn("_who", F.when(F.size(_tiers(columns)) > 0, _triple(columns)))
     triples = named.filter(F.col("_who").isNotNull()).select("_who", *columns).distinct()
+    tried = triples.select("_who", F.explode(_tiers(columns)).alias("k")).select(
+        "_who", "k.tier", _tier_key(F.col("k.tier"), F.col("k.key")).alias("_identifier")
+    )
     found = (
-        triples.select("_who", F.explode(_tiers(columns)).alias("k"))
-        .select("_who", "k.*")
-        .join(identity_keys(users, user_key, columns), ["tier", "key"])
+        lookup(tried, identity_keys(users, user_key, columns), "_identifier", "inner")
         .groupBy("_who")
         .agg(F.min_by(user_key, "tier").alias(user_key))
     )

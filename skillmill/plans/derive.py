@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skillmill import model
 from skillmill.functions.career import career_ladder
 from skillmill.functions.numbers import clamp_percent
+from skillmill.functions.text import map_pick
 from skillmill.operators.lookup import lookup
 
 
@@ -76,6 +77,26 @@ def section_summary(
     return stacked.groupBy(key).agg(*columns)
 
 
+def with_headers(df: DataFrame, table: model.Table) -> DataFrame:
+    """A stored table under the headers it is delivered with, every value as text."""
+    columns = []
+    for field in table.fields:
+        if not field.headers:
+            continue
+        value = F.col(field.name)
+        if field.kind == "multilang":
+            written = F.transform(
+                F.map_entries(value), lambda e: F.concat(e["key"], F.lit(":"), e["value"])
+            )
+            value = F.array_join(written, "|")
+        elif field.kind == "json_text":
+            value = F.get_json_object(value, "$")
+        columns.append(value.cast("string").alias(field.headers[-1]))
+    if table is model.USERS:
+        columns.append(map_pick(F.col("name_multilang")).alias("Name"))
+    return df.select(*columns)
+
+
 def report_layout(users: DataFrame, cvs: DataFrame, section: DataFrame | None = None) -> DataFrame:
     """Export rows: the base columns of user and CV in front of the section columns.
 

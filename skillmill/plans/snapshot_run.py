@@ -8,6 +8,7 @@ import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from skillmill.operators.quality import check_tables
 from skillmill.plans import kpi, profile, tables, transform
 from skillmill.session import get_spark
 from skillmill.sources.reports import extract
+from skillmill.sources.snapshots import DELIVERED_REPORTS, OTHER_REPORTS
 from skillmill.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -29,6 +31,7 @@ PARALLEL_TABLES = 4
 PROFILE = "cv_search_profile_mv"
 FIGURES = "kpi"
 _REJECT_SCHEMA = "table_name string, problem string, row string"
+_SKIPPED_SCHEMA = "table_name string, parent string, rows long"
 
 
 class LoadError(RuntimeError):
@@ -75,6 +78,7 @@ def load(
     }
     done: dict[str, DataFrame] = {}
     rejected: list[DataFrame] = []
+    skipped: list[DataFrame] = []
 
     def store(table: model.Table, rows: DataFrame, parents: DataFrame | None) -> None:
         # Typed rows are written once: the reports are parsed a single time, and
@@ -83,6 +87,8 @@ def load(
         built = tables.build(table, typed, parents, before.get(table.name))
         done[table.name] = warehouse.stage(run, table.name, built)
         rejected.append(tables.rejects(table, typed, parents))
+        if parents is not None:
+            skipped.append(tables.skipped(table, typed, parents))
 
     usage = reports.get(transform.USAGE_REPORT)
     store(model.USERS, transform.user_rows(user_report, usage, **options), None)
@@ -119,10 +125,12 @@ def load(
         list(pool.map(store_report, (*model.SECTIONS, *people_reports)))
         list(pool.map(store_dimension, model.DIMENSIONS))
 
-    all_rejected = spark.createDataFrame([], _REJECT_SCHEMA)
-    for part in rejected:
-        all_rejected = all_rejected.unionByName(part)
-    done["rejects"] = warehouse.stage(run, "rejects", all_rejected)
+    for name, schema, parts in (
+        ("rejects", _REJECT_SCHEMA, rejected),
+        ("skipped", _SKIPPED_SCHEMA, skipped),
+    ):
+        nothing = spark.createDataFrame([], schema)
+        done[name] = warehouse.stage(run, name, reduce(DataFrame.unionByName, parts, nothing))
     count = done["rejects"].count()
     if count and on_violation == "fail":
         problems = done["rejects"].groupBy("table_name", "problem").count().limit(20).collect()
@@ -171,7 +179,12 @@ def run_snapshot(
     run = run_time.strftime("%Y%m%dT%H%M%S%f")
     warehouse = Warehouse(spark, warehouse_dir)
     before = warehouse.paths()
+    if run <= (warehouse.current_run() or ""):
+        raise ValueError(f"run {run} is not newer than the published version")
     folder, reports = extract(spark, reports_dir, snapshot, multi_line)
+    missing = [n for n in (*DELIVERED_REPORTS, *OTHER_REPORTS) if f"{n}.csv" not in reports]
+    if missing:
+        log.warning("reports missing from %s: %s", folder, ", ".join(missing))
     done, rejected = load(
         spark, reports, warehouse, run, run_time, on_violation, strict_headers, strict_dates
     )

@@ -23,17 +23,25 @@ class Warehouse:
         self.spark = spark
         self.root = root
 
-    def paths(self) -> dict[str, str]:
-        """Table paths of the published version, empty before the first one."""
+    def _manifest(self) -> DataFrame | None:
         try:
-            manifest = self.spark.read.schema(_MANIFEST_SCHEMA).json(join_path(self.root, "manifest"))
+            return self.spark.read.schema(_MANIFEST_SCHEMA).json(join_path(self.root, "manifest"))
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return {}
+                return None
             raise
-        newest = manifest.agg(F.max("run").alias("run"))
+
+    def current_run(self) -> str | None:
+        manifest = self._manifest()
+        return None if manifest is None else manifest.agg(F.max("run")).first()[0]
+
+    def paths(self) -> dict[str, str]:
+        """Table paths of the published version, empty before the first one."""
+        run = self.current_run()
+        if run is None:
+            return {}
         # One row per table of one run: bounded by the data model.
-        rows = manifest.join(F.broadcast(newest), "run").collect()
+        rows = self._manifest().filter(F.col("run") == run).collect()
         return {row["table_name"]: row["path"] for row in rows}
 
     def table(self, name: str) -> DataFrame | None:
@@ -54,7 +62,10 @@ class Warehouse:
         return join_path(self.root, f"v={run}", name)
 
     def publish(self, run: str, paths: Mapping[str, str]) -> None:
-        """Makes ``paths`` the current version."""
+        """Makes ``paths`` the current version; versions are ordered by name."""
+        current = self.current_run()
+        if current is not None and run <= current:
+            raise ValueError(f"version {run} is not newer than {current}")
         rows = [(run, name, path) for name, path in sorted(paths.items())]
         manifest = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
         manifest.write.mode("error").json(join_path(self.root, "manifest", f"published={run}"))

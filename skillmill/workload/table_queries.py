@@ -15,8 +15,8 @@ from skillmill.workload import sources
 from skillmill.workload.sources import LINE_ORDER, email_of, read, say, spelling, word
 
 USER_ID, CV_ID, SECTION_ID = "CV Partner User ID", "CV Partner CV ID", "CV Partner section ID"
-FIRST_RUN = dt.datetime(2024, 6, 1)
-SECOND_RUN = dt.datetime(2024, 7, 1)
+FIRST_RUN = dt.datetime(2024, 6, 1, 12)
+SECOND_RUN = dt.datetime(2024, 7, 1, 12)
 
 
 def _natural(table: model.Table, df: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@ import datetime as dt
 import pytest
 
 from skillmill import model
+from skillmill.plans import derive, tables, transform
 from skillmill.plans.snapshot_run import PROFILE, LoadError, run_snapshot
-from skillmill.sources.warehouse import Warehouse
+from skillmill.sources.reports import read_report
+from skillmill.sources.warehouse import Warehouse, write_report
 from tests.fixture_reports import REPORTS, write_snapshot
 
 T1 = dt.datetime(2024, 5, 1, 12, 0, 0)
@@ -52,6 +54,9 @@ def test_single_person_snapshot(spark, tmp_path):
     assert user["nationality_multilang"] == {"int": "UK"}
     # The certificate names a CV that does not exist.
     assert rows(spark, tmp_path / "out", "certification") == []
+    assert rows(spark, tmp_path / "out", "skipped") == [
+        {"table_name": "certification", "parent": "1", "rows": 1}
+    ]
     for table in model.SECTIONS:
         if table.name != "certification":
             assert len(rows(spark, tmp_path / "out", table.name)) == 1, table.name
@@ -62,6 +67,28 @@ def test_single_person_snapshot(spark, tmp_path):
     assert rows(spark, tmp_path / "out", "dim_industry")[0]["name"] == "IT"
 
 
+    # Exported under the delivered headers, a table loads to the same rows again.
+    out = Warehouse(spark, str(tmp_path / "out"))
+    for table in (model.POSITION, model.PROJECT_EXPERIENCE):
+        exported = derive.report_layout(
+            derive.with_headers(out.table("users"), model.USERS),
+            derive.with_headers(out.table("cvs"), model.CVS),
+            derive.with_headers(out.table(table.name), table),
+        )
+        path = str(tmp_path / "export" / table.report)
+        write_report(exported, path)
+        again = tables.build(
+            table, transform.typed_rows(read_report(spark, path), table), out.table("cvs")
+        )
+        first = {f.name: v for f, v in zip(table.fields, again.select(*[f.name for f in table.fields]).first())}
+        stored = out.table(table.name).first().asDict()
+        if table is model.POSITION:  # "Name" is the person's here, the role comes second
+            assert first.pop("name") == "Jane Doe" and stored["name"] == "Tech Lead"
+        assert first == {k: stored[k] for k in first}
+    with pytest.raises(ValueError, match="not newer"):
+        run(spark, tmp_path / "in", tmp_path / "out")
+
+
 def test_strict_headers_leave_renamed_columns_empty(spark, tmp_path):
     write_snapshot(tmp_path / "in")
     run(spark, tmp_path / "in", tmp_path / "out", strict_headers=True)
