@@ -87,10 +87,12 @@ def typed_rows(
             present.append(cell.isNotNull().alias(f"_has_{field.name}"))
             problems.append((field.name, F.col(f"_has_{field.name}") & lost))
     reject = F.concat_ws(", ", *[F.when(bad, F.lit(name)) for name, bad in problems])
-    converted = df.select(*values, *present, *order)
-    return converted.select(
-        *[f.name for f in table.fields], F.nullif(reject, F.lit("")).alias(REJECT), *order
-    )
+    # A filter on the reject list must not be pushed below the conversions: that
+    # would run all of them twice.  The optimizer keeps filters above a projection
+    # with a column such as the partition id, so the reject list depends on it.
+    converted = df.select(*values, *present, F.spark_partition_id().alias("_part"), *order)
+    rejected = F.when(F.col("_part") >= 0, F.nullif(reject, F.lit(""))).alias(REJECT)
+    return converted.select(*[f.name for f in table.fields], rejected, *order)
 
 
 def require_users(reports: Mapping[str, DataFrame]) -> DataFrame:
