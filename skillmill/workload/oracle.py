@@ -383,7 +383,7 @@ FROM customer LEFT JOIN last ON o_custkey = c_custkey""",
     "unmatched_counts": """SELECT user_id AS doc_id, count(*) AS rows FROM events
 WHERE user_id NOT IN (SELECT doc_id FROM labels) GROUP BY user_id""",
     "dim_technology": "SELECT DISTINCT p_brand AS name FROM lineitem JOIN part ON l_partkey = p_partkey",
-    "dim_new_members": """WITH named AS (SELECT l_returnflag, l_shipdate, p_brand || '/' || p_size || '/' || l_linenumber AS name
+    "dim_new_members": """WITH named AS (SELECT l_returnflag, l_shipdate, p_brand || '/' || l_partkey || '/' || l_linenumber AS name
   FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT name FROM named WHERE l_returnflag <> 'A' EXCEPT SELECT name FROM named WHERE year(l_shipdate) < 1997""",
     "dim_lookup": """WITH named AS (SELECT CASE WHEN l_returnflag <> 'A' THEN p_type END AS name

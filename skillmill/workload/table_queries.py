@@ -181,7 +181,7 @@ def dim_technology(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_new_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names in use that the dimension of the earlier lines did not hold."""
     lines = sources.lines_with_part(spark, sf_dir)
-    name = say(F.col("p_brand"), "/", F.col("p_size"), "/", F.col("l_linenumber"))
+    name = say(F.col("p_brand"), "/", F.col("l_partkey"), "/", F.col("l_linenumber"))
     earlier = lines.filter(F.year("l_shipdate") < 1997).select(name.alias("name")).distinct()
     used = lines.select(F.when(F.col("l_returnflag") == "A", "").otherwise(name).alias("name"))
     return upsert.new_members(used, earlier)

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from skillmill import model
@@ -213,6 +214,22 @@ def test_nationality_of_the_last_usage_row(spark):
     ]
 
 
+def test_missing_columns_give_empty_values(spark):
+    users = report(spark, ["CV Partner User ID", "CV Partner CV ID"], [("1", "c1")])
+    user = tables.build(model.USERS, transform.user_rows(users, None, ORDER), order=ORDER).first()
+    assert user["name_multilang"] == {} and user["nationality_multilang"] == {}
+    assert user["birth_year"] is None and user["user_id"] is not None
+    cv = tables.build(model.CVS, transform.cv_rows(users, ORDER), order=ORDER).first()
+    assert cv["title_multilang"] == {} and cv["sfia_level"] is None
+
+
+def test_user_report_is_checked(spark):
+    empty = report(spark, ["CV Partner User ID"], [])
+    for reports in ({}, {transform.USER_REPORT: empty}):
+        with pytest.raises(ValueError, match="no rows"):
+            transform.require_users(reports)
+
+
 # --- profile and figures ------------------------------------------------------------
 
 
