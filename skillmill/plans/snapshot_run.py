@@ -79,6 +79,7 @@ def load(
     done: dict[str, DataFrame] = {}
     rejected: list[DataFrame] = []
     skipped: list[DataFrame] = []
+    naming: dict[str, DataFrame] = {}
 
     def store(table: model.Table, rows: DataFrame, parents: DataFrame | None) -> None:
         # Typed rows are written once: the reports are parsed a single time, and
@@ -89,6 +90,8 @@ def load(
         rejected.append(tables.rejects(table, typed, parents))
         if parents is not None:
             skipped.append(tables.skipped(table, typed, parents))
+        if table.dimensions:
+            naming[table.name] = tables.named(table, typed, parents)
 
     usage = reports.get(transform.USAGE_REPORT)
     store(model.USERS, transform.user_rows(user_report, usage, **options), None)
@@ -119,7 +122,15 @@ def load(
             store(table, transform.typed_rows(report, table, **options), cvs)
 
     def store_dimension(name: str) -> None:
-        done[name] = warehouse.stage(run, name, tables.dimension(name, done, before.get(name)))
+        existing = before.get(name)
+        used = any(f.dimension == name for t in naming for f in model.BY_NAME[t].dimensions)
+        if used:
+            members = tables.dimension(name, naming, existing)
+        elif existing is not None:
+            members = existing
+        else:
+            members = _empty(spark, model.dimension_schema(name))
+        done[name] = warehouse.stage(run, name, members)
 
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
         list(pool.map(store_report, (*model.SECTIONS, *people_reports)))

@@ -80,10 +80,24 @@ def skipped(table: Table, rows: DataFrame, parents: DataFrame) -> DataFrame:
     )
 
 
+def named(table: Table, rows: DataFrame, parents: DataFrame | None = None) -> DataFrame:
+    """The dimension names that typed rows bring in, rows replaced by later ones included.
+
+    Rows of unknown CVs count for technologies only.  Each name is kept once per
+    parent before the parents are looked up.
+    """
+    names = [f.name for f in table.dimensions]
+    good = rows.filter(F.col(REJECT).isNull())
+    if parents is None or table is model.CV_TECHNOLOGY:
+        return good.select(*names)
+    key = _parent_key(table)
+    return known_only(good.select(key, *names).distinct(), parents, key).select(*names)
+
+
 def dimension(
     name: str, tables: Mapping[str, DataFrame], existing: DataFrame | None = None
 ) -> DataFrame:
-    """Members of a dimension in use, added to those it already holds."""
+    """Members of a dimension that ``tables`` name, added to those it already holds."""
     used = [
         tables[t.name].select(F.col(f.name).alias("name"))
         for t in model.TABLES

@@ -108,7 +108,14 @@ def test_refresh_and_retention(spark, tmp_path):
             "JANE@example.com,2024-07-01,150,\n"
         ),
         "sc_clearance.csv": "Email,Clearance,Valid From,Valid To\njane@example.com,,,\n",
-        "technologies.csv": "CV Partner CV ID,Skill name,Year experience,Proficiency (0-5)\ncv-1,SQL,7,3\n",
+        "technologies.csv": (
+            "CV Partner CV ID,Skill name,Year experience,Proficiency (0-5)\n"
+            "cv-1,SQL,7,3\nnobody,Perl,1,1\n"
+        ),
+        "project_experiences.csv": (
+            "CV Partner CV ID,CV Partner section ID,Industry (int)\n"
+            "cv-1,p1,Bank\ncv-1,p1,Health\nnobody,p1,Space\n"
+        ),
     }
     write_snapshot(tmp_path / "in", "Q22024", second)
     result = run(spark, tmp_path / "in", tmp_path / "out", T2)
@@ -124,6 +131,15 @@ def test_refresh_and_retention(spark, tmp_path):
     clearances = {(r["clearance"], r["valid_from"].isoformat()) for r in rows(spark, tmp_path / "out", "user_clearance")}
     assert clearances == {("SC", "2023-01-01"), ("None", "1900-01-01")}
     assert {r["name"] for r in rows(spark, tmp_path / "out", "dim_clearance")} == {"SC", "None"}
+    # A dimension holds every name that came in for a known CV; for technologies also the others.
+    names = {
+        d: {r["name"] for r in rows(spark, tmp_path / "out", d)}
+        for d in ("dim_technology", "dim_industry", "dim_project_type")
+    }
+    assert names == {
+        "dim_technology": {"SQL", "Perl"}, "dim_industry": {"Bank", "Health"}, "dim_project_type": set(),
+    }
+    assert [r["industry"] for r in rows(spark, tmp_path / "out", "project_experience")] == ["Health"]
     # Technologies are rebuilt, not added to.
     assert [r["technology"] for r in rows(spark, tmp_path / "out", "cv_technology")] == ["SQL"]
     profile = rows(spark, tmp_path / "out", PROFILE)[0]
