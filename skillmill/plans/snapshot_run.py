@@ -254,8 +254,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--single-line", action="store_true", help="no cell holds a line break")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
+    logging.getLogger("py4j").setLevel(logging.WARNING)
+    spark = get_spark()
     result = run_snapshot(
-        get_spark(),
+        spark,
         args.reports_dir,
         args.warehouse_dir,
         run_time=dt.datetime.now(dt.timezone.utc),
@@ -267,6 +269,7 @@ def main(argv: list[str] | None = None) -> None:
         multi_line=not args.single_line,
     )
     log.info("published %s from %s", result.run, result.snapshot)
+    spark.stop()
 
 
 if __name__ == "__main__":

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _list(spark: SparkSession, base: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.listStatus(path)
+def _open(spark: SparkSession, location: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, location: str) -> bool:
+    fs, path = _open(spark, location)
+    return fs.exists(path)
 
 
 def child_names(spark: SparkSession, base: str, dirs_only: bool = False) -> list[str]:
     """Names right below ``base``, sorted."""
+    fs, path = _open(spark, base)
     return sorted(
         status.getPath().getName()
-        for status in _list(spark, base)
+        for status in fs.listStatus(path)
         if status.isDirectory() or not dirs_only
     )
 

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillmill.sources.paths import join_path
+from skillmill.sources.paths import exists, join_path
 
 _MANIFEST_SCHEMA = "run string, table_name string, path string"
 
@@ -24,12 +23,10 @@ class Warehouse:
         self.root = root
 
     def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_MANIFEST_SCHEMA).json(join_path(self.root, "manifest"))
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        path = join_path(self.root, "manifest")
+        if not exists(self.spark, path):
+            return None
+        return self.spark.read.schema(_MANIFEST_SCHEMA).json(path)
 
     def current_run(self) -> str | None:
         manifest = self._manifest()
