@@ -9,7 +9,7 @@ import __spark_entry__ as driver
 from skillmill import model
 from skillmill.operators import lookup
 from skillmill.operators.upsert import latest_per_key
-from skillmill.plans import profile
+from skillmill.plans import derive, profile
 
 SF = "/root/testdata/sf0.001"
 
@@ -142,3 +142,37 @@ def test_scans_read_only_what_is_needed(spark):
     assert "l_extendedprice" not in scan and "l_tax" not in scan
     pushed = plan(driver.queries()["cascade_delete"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in pushed
+
+
+def test_hot_person_of_the_facts_is_split(spark, tmp_path):
+    facts = skewed(spark, tmp_path).select(
+        F.concat("k", F.lit("@x.org")).alias("email"),
+        F.lit(None).cast("string").alias("upn"),
+        F.lit("").alias("external_user_id"),
+        "c",
+        "v",
+    )
+    users = facts.select("email").distinct().select(
+        F.upper("email").alias(model.USER_KEY),
+        F.upper("email").alias("email"),
+        F.lit(None).cast("string").alias("upn"),
+        F.lit(None).cast("string").alias("external_user_id"),
+    )
+    with conf(spark, **EAGER_SPLIT):
+        found = lookup.resolve_identity(facts, users, model.USER_KEY)
+        assert "skew=true" in final_plan(found)
+        assert found.count() == facts.count()
+
+
+def test_export_keeps_a_hot_cv_apart(spark, tmp_path):
+    section = skewed(spark, tmp_path).select(
+        F.col("k").alias("CV Partner CV ID"), F.col("c").alias("CV Partner section ID"), F.col("v").alias("Label")
+    )
+    cvs = section.select("CV Partner CV ID").distinct().withColumn(
+        "CV Partner User ID", F.concat(F.lit("u"), F.col("CV Partner CV ID"))
+    )
+    users = cvs.select("CV Partner User ID").distinct().withColumn("Email", F.lit("a@x.org"))
+    with conf(spark, **EAGER_SPLIT):
+        found = derive.report_layout(users, cvs, section)
+        assert "skew=true" in final_plan(found)
+        assert found.count() == section.count()
