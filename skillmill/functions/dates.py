@@ -13,6 +13,9 @@ from skillmill.functions.text import blank_to_null, let, strip
 FIRST_DAY = dt.date(1677, 9, 22)
 LAST_DAY = dt.date(2262, 4, 11)
 
+# Two-digit years are read near this year unless the caller names another.
+THIS_YEAR = 2025
+
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
     "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|"
@@ -97,7 +100,7 @@ def _read_any(text: Column, strict_dates: bool, this_year: int) -> Column:
     )
 
 
-def iso_date(c: Column, strict_dates: bool = False, this_year: int = 2025) -> Column:
+def iso_date(c: Column, strict_dates: bool = False, this_year: int = THIS_YEAR) -> Column:
     """Text to date.
 
     Four characters before the first dash mean year-month-day; other text is read

@@ -70,7 +70,8 @@ def load(
     """Stages every table of a new version; gives the tables and the number of rejected rows."""
     if on_violation not in ("fail", "quarantine"):
         raise ValueError(f"on_violation is 'fail' or 'quarantine', not {on_violation!r}")
-    options = {"strict_headers": strict_headers, "strict_dates": strict_dates}
+    spelling = {"strict_dates": strict_dates, "this_year": run_time.year}
+    options = {"strict_headers": strict_headers, **spelling}
     user_report = transform.require_users(reports)
     published = warehouse.paths()
     before = {
@@ -100,11 +101,9 @@ def load(
     cvs = done["cvs"]
 
     people_reports = {
-        model.USER_CLEARANCE: lambda df: transform.clearance_rows(
-            df, users, strict_dates=strict_dates
-        ),
+        model.USER_CLEARANCE: lambda df: transform.clearance_rows(df, users, **spelling),
         model.USER_AVAILABILITY: lambda df: transform.availability_rows(
-            df, users, run_time, strict_dates=strict_dates
+            df, users, run_time, **spelling
         ),
     }
 

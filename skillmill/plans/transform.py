@@ -34,7 +34,7 @@ def column(df: DataFrame, headers: Sequence[str], strict: bool = False) -> Colum
     return None
 
 
-def _value(field: Field, cell: Column | None, strict_dates: bool) -> Column:
+def _value(field: Field, cell: Column | None, strict_dates: bool, this_year: int) -> Column:
     if cell is None:
         return {
             "multilang": text.empty_map(),
@@ -52,7 +52,7 @@ def _value(field: Field, cell: Column | None, strict_dates: bool) -> Column:
         "percent": numbers.percent,
         "bool": text.parse_boolean,
         "raw_bool": text.database_boolean,
-        "date": lambda c: dates.iso_date(c, strict_dates),
+        "date": lambda c: dates.iso_date(c, strict_dates, this_year),
         "multilang": text.multilang_map,
     }
     return convert[field.kind](cell)
@@ -64,6 +64,7 @@ def typed_rows(
     order: Sequence[str] = FILE_ORDER,
     strict_headers: bool = False,
     strict_dates: bool = False,
+    this_year: int = dates.THIS_YEAR,
     given: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Target columns of ``table`` from a raw report, with the reject list and the row order.
@@ -78,7 +79,9 @@ def typed_rows(
     values, present, problems = [], [], []
     for field in table.fields:
         cell = column(df, field.headers, strict_headers)
-        value = given[field.name] if field.name in given else _value(field, cell, strict_dates)
+        value = given.get(field.name)
+        if value is None:
+            value = _value(field, cell, strict_dates, this_year)
         values.append(value.cast(kinds[field.name]).alias(field.name))
         lost = F.col(field.name).isNull()
         if field.required and field.name != parent_key:
@@ -148,14 +151,18 @@ def _resolved(df: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def clearance_rows(
-    df: DataFrame, users: DataFrame, order: Sequence[str] = FILE_ORDER, strict_dates: bool = False
+    df: DataFrame,
+    users: DataFrame,
+    order: Sequence[str] = FILE_ORDER,
+    strict_dates: bool = False,
+    this_year: int = dates.THIS_YEAR,
 ) -> DataFrame:
     """Clearances by person.  A start that is missing or no date counts as the default start."""
 
     def day(header: str) -> Column:
         cell = column(df, (header,))
         none = F.lit(None).cast("date")
-        return none if cell is None else dates.iso_date(cell, strict_dates)
+        return none if cell is None else dates.iso_date(cell, strict_dates, this_year)
 
     start = F.coalesce(day("Valid From"), F.lit(dt.date.fromisoformat(model.DEFAULT_START)))
     name = column(df, ("Clearance",))
@@ -176,6 +183,7 @@ def availability_rows(
     run_time: dt.datetime,
     order: Sequence[str] = FILE_ORDER,
     strict_dates: bool = False,
+    this_year: int = dates.THIS_YEAR,
 ) -> DataFrame:
     source = column(df, ("Source",))
     given = {
@@ -186,5 +194,10 @@ def availability_rows(
         "updated_at": F.lit(run_time).cast("timestamp"),
     }
     return typed_rows(
-        _resolved(df, users), model.USER_AVAILABILITY, order, strict_dates=strict_dates, given=given
+        _resolved(df, users),
+        model.USER_AVAILABILITY,
+        order,
+        strict_dates=strict_dates,
+        this_year=this_year,
+        given=given,
     )

@@ -195,6 +195,14 @@ def test_dates_read_as_a_data_frame_library_does(spark):
     assert wrong == []
 
 
+def test_short_years_fall_near_the_given_year(spark):
+    def near(year):
+        return apply(spark, ["01/02/80", "29-02-00"], lambda c: dates.iso_date(c, this_year=year))
+
+    assert near(2024) == [dt.date(1980, 2, 1), dt.date(2000, 2, 29)]
+    assert near(2035) == [dt.date(2080, 2, 1), dt.date(2000, 2, 29)]
+
+
 def test_year_first_dates(spark):
     strict = apply(spark, YEAR_FIRST, lambda c: dates.iso_date(c, strict_dates=True))
     assert strict[:3] == [dt.date(2024, 2, 1)] * 3 == [date_spec(c) for c in YEAR_FIRST[:3]]
