@@ -86,7 +86,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     missing = set(driver.queries()) ^ set(driver.oracle_sql())
-    print("without a partner:", sorted(missing))
+    print("without SQL:", sorted(missing))
     bad = 0
     for query in sys.argv[2:] or driver.oracle_sql():
         begin = time.time()
