@@ -16,8 +16,8 @@ In a tree, points are packed into leaves by what is already known to be connecte
 each with its bounding box.  Two boxes whose bound is too low are not opened, points
 whose bound is too low are not compared, and the rest is verified on the sets.
 
-Who is compared.  Documents with equal sets are one class.  Two rounds link each component
-to the document it shares most trees with; then all pairs of documents that share a tree and are
+Who is compared.  Documents with equal sets are one class.  Some rounds link each component
+to documents it shares most trees with; then all pairs of documents that share any tree and are
 not yet connected are bounded and verified.  A pair skipped this way is connected already, so
 no component is lost and a group of copies costs no square of its size.
 
@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skillmill.llm.common import blocks, components, partitions, stored
@@ -48,10 +48,12 @@ _MULTIPLIERS = np.array(
 GROUP_SIZE = 5
 #: Points of a leaf, about.
 LEAF = 64
+#: Rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
+ROUNDS, SOME, OFFERS = 4, 8, 3
 #: Largest set the classes are laid out for.
 LARGEST = 1 << 40
 
-ROW = "bucket int, kind string, a long, b long, c long, d long, keys binary, ids binary, trees binary"
+ROW = "bucket int, kind string, a long, b long, c long, d long, keys binary, ids binary"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -114,13 +116,13 @@ def counted(hashes: np.ndarray, owner: np.ndarray, groups: np.ndarray) -> tuple[
     return first[owner] + within.astype(np.int64), first
 
 
-def tree_keys(sets: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, index of the set, tree) for every filled group, in the set's two trees."""
+def tree_keys(sets: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """(key, index of the set) for every filled group, in the set's two trees."""
     n = np.array([len(s) for s in sets], dtype=np.int64)
-    keys, owners, trees = [], [], []
+    keys, owners = [], []
     used = np.flatnonzero(n)
     if not len(used):
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     hashes, n = np.concatenate([sets[i] for i in used]), n[used]
     owner = np.repeat(np.arange(len(used)), n)
     low, high = (hashes & np.uint64(0xFFFFFFFF)).astype(float), (hashes >> np.uint64(32)).astype(float)
@@ -135,14 +137,13 @@ def tree_keys(sets: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.ndar
         who = np.repeat(np.arange(len(used)), groups)
         group = np.arange(size) - first[who]
         key = mixed(sums[0] * _MULTIPLIERS[0] + mixed(sums[1] + _MULTIPLIERS[1] * group.astype(np.uint64)))
-        key = mixed(key + _MULTIPLIERS[2] * tree[who].astype(np.uint64))
         filled = (number > 0) & live[who]
         certain = np.bincount(who[filled], minlength=len(used)) > shape.differing(n, np.maximum(tree, 1))
         rare = np.flatnonzero(live & ~certain)
-        keys += [key[filled], mixed(_MULTIPLIERS[3] * (tree[rare].astype(np.uint64) + np.uint64(1)))]
+        # The key's last byte is the tree's class; there are fewer than 256.
+        keys += [key[filled] << np.uint64(8) | tree[who[filled]].astype(np.uint64), tree[rare].astype(np.uint64)]
         owners += [who[filled], rare]
-        trees += [tree[who[filled]], tree[rare]]
-    return np.concatenate(keys), used[np.concatenate(owners)], np.concatenate(trees)
+    return np.concatenate(keys), used[np.concatenate(owners)]
 
 
 def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +161,7 @@ def tree_rows(shape: Shape, size: int, buckets: int):
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         names = [x.split()[0] for x in ROW.split(", ")]
-        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4, *[pa.binary()] * 3]
+        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4, *[pa.binary()] * 2]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names
         )
@@ -173,30 +174,30 @@ def tree_rows(shape: Shape, size: int, buckets: int):
                 sets.append(found if doc is not None else found[:0])
                 h = xxhash.xxh3_128_intdigest(found.tobytes())
                 halves = [(h >> s & (1 << 64) - 1) - (1 << 63) for s in (0, 64)]
-                rows.append((hash((doc, i)) % buckets, "doc", doc, len(found), *halves, None, None, None))
+                rows.append((hash((doc, i)) % buckets, "doc", doc, len(found), *halves, None, None))
             # Copies within the block need not all be packed.
             seen: dict[tuple, int] = {}
             for i, row in enumerate(rows):
                 if seen.setdefault(row[4:6], i) != i:
                     sets[i] = sets[i][:0]
-            keys, owner, trees = tree_keys(sets, shape)
+            keys, owner = tree_keys(sets, shape)
             if not len(keys):
                 yield out(rows)
                 continue
             doc = np.array([x if x is not None else 0 for x in ids], dtype=np.int64)[owner]
             order = np.lexsort((doc, keys))
-            keys, doc, trees = keys[order], doc[order], trees[order]
+            keys, doc = keys[order], doc[order]
             begin, length = runs(keys)
             shared = np.repeat(length > 1, length)
             if shared.any():
                 at = len(rows) % buckets
-                rows.append((at, "members", None, None, None, None, keys[shared].tobytes(), doc[shared].tobytes(), trees[shared].astype(np.int32).tobytes()))
-            keys, doc, trees = keys[begin], doc[begin], trees[begin]
+                rows.append((at, "members", None, None, None, None, keys[shared].tobytes(), doc[shared].tobytes()))
+            keys, doc = keys[begin], doc[begin]
             bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             order = np.lexsort((doc, bucket))
-            keys, doc, trees, bucket = keys[order], doc[order], trees[order].astype(np.int32), bucket[order]
+            keys, doc, bucket = keys[order], doc[order], bucket[order]
             for b, k in zip(*runs(bucket), strict=True):
-                rows.append((int(bucket[b]), "keys", None, None, None, None, keys[b : b + k].tobytes(), doc[b : b + k].tobytes(), trees[b : b + k].tobytes()))
+                rows.append((int(bucket[b]), "keys", None, None, None, None, keys[b : b + k].tobytes(), doc[b : b + k].tobytes()))
             yield out(rows)
 
     return run
@@ -210,13 +211,13 @@ def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(arrays, ["kind", "a", "b", "c", "d"])
 
     def unpacked(batch):
-        rows = zip(*[batch.column(c).to_pylist() for c in ("keys", "ids", "trees")], strict=True)
-        parts = [(np.frombuffer(k, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(t, np.int32)) for k, i, t in rows]
+        rows = zip(*[batch.column(c).to_pylist() for c in ("keys", "ids")], strict=True)
+        parts = [(np.frombuffer(k, np.uint64), np.frombuffer(i, np.int64)) for k, i in rows]
         return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
-    def members(keys, doc, tree):
-        none = np.zeros(len(keys), dtype=np.int64)
-        return out("member", keys.view(np.int64), doc, tree.astype(np.int64), none)
+    def members(keys, doc):
+        none = pa.nulls(len(keys), pa.int64())
+        return out("member", keys.view(np.int64), doc, none, none)
 
     held = []
     for batch in batches:
@@ -231,14 +232,14 @@ def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if packed.num_rows:
             held.append(unpacked(packed))
     if held:
-        keys, doc, tree = [np.concatenate(x) for x in zip(*held, strict=True)]
+        keys, doc = [np.concatenate(x) for x in zip(*held, strict=True)]
         order = np.argsort(keys, kind="stable")
-        keys, doc, tree = keys[order], doc[order], tree[order]
+        keys, doc = keys[order], doc[order]
         begin, length = runs(keys)
         several = np.repeat(length > 1, length)
         for i in range(0, int(several.sum()), 200_000):
             part = slice(i, i + 200_000)
-            yield members(keys[several][part], doc[several][part], tree[several][part])
+            yield members(keys[several][part], doc[several][part])
 
 
 def points(shape: Shape, size: int):
@@ -402,6 +403,22 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
     return met.union(opened.mapInArrow(leaf_pairs(shape), pairs)).groupBy("u", "v").agg(F.min("tree").alias("tree"))
 
 
+def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
+    """(u, v, tree): each component with the few documents of others it shares most trees with.
+
+    Every tree offers one document, another in each round, so the pairs are in proportion to the components.
+    """
+    named = trees.join(labels, "rep")
+    lot = F.xxhash64("rep", "key", F.lit(round_))
+    pivot = named.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by(F.struct("rep", "component"), lot).alias("pivot")
+    ).where("lo < hi").select("key", F.col("pivot.rep").alias("u"), F.col("pivot.component").alias("other"))
+    votes = named.join(pivot, "key").where("component <> other").groupBy("component", "u", "rep", "tree").agg(F.count("*").alias("votes"))
+    order = Window.partitionBy("component").orderBy(F.desc("votes"), "u", "rep", "tree")
+    best = votes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= (1 if round_ == 0 else OFFERS))
+    return best.select("u", F.col("rep").alias("v"), "tree").distinct()
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the size of its set, the smallest id reachable by links."""
     spark = docs.sparkSession
@@ -415,29 +432,23 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     info = found.where("kind = 'doc'").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), F.col("c").alias("h1"), F.col("d").alias("h2"))
     classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
-    members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("doc_id"), F.col("c").alias("tree"))
+    members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("doc_id"))
     touched = members.select("doc_id").distinct().join(info.where("n > 0").select("doc_id", "h1", "h2").distinct(), "doc_id")
     reps = stored(touched.join(classes, ["h1", "h2"]).select("doc_id", "rep").distinct(), "reps")
-    held = members.join(reps, "doc_id").select("key", "tree", "rep").distinct()
+    held = members.join(reps, "doc_id").select("key", "rep").distinct()
     several = held.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    trees = stored(held.join(several, "key"), "trees")
+    trees = stored(held.join(several, "key").withColumn("tree", F.col("key").bitwiseAND(255)), "trees")
     nodes = trees.select("rep").distinct()
     chosen = texts.join(nodes, texts.doc_id == nodes.rep, "left_semi").dropDuplicates(["doc_id"])
     vectors = stored(chosen.mapInArrow(points(shape, shingle), "rep long, n long, class long, own binary, back binary, shingles binary"), "points")
 
-    edges = None
+    # Similar documents share most of their trees, so some of the trees are enough to connect most of them.
+    some = stored(trees.where(F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0), "some")
     labels = nodes.select("rep", F.col("rep").alias("component"))
-    for round_ in range(3):
-        if round_ < 2:
-            named = trees.join(labels, "rep")
-            pivot = named.groupBy("key").agg(
-                F.min("component").alias("lo"), F.max("component").alias("hi"),
-                F.min("rep").alias("first"), F.max("rep").alias("last"),
-            ).where("lo < hi").select("key", F.col("last" if round_ else "first").alias("u"))
-            star = named.join(pivot, "key").join(labels.select(F.col("rep").alias("u"), F.col("component").alias("other")), "u")
-            votes = star.where("component <> other").groupBy("component", "u", "rep", "tree").agg(F.count("*").alias("votes"))
-            best = votes.groupBy("component").agg(F.max_by(F.struct("u", "rep", "tree"), F.struct("votes", "u", "rep", "tree")).alias("best"))
-            pairs = best.select("best.u", F.col("best.rep").alias("v"), "best.tree").distinct()
+    edges = None
+    for round_ in range(ROUNDS + 1):
+        if round_ < ROUNDS:
+            pairs = star_pairs(some, labels, round_)
         else:
             pairs = tree_join(trees, labels, vectors, shape)
         new = linked(pairs, vectors, shape)
