@@ -55,10 +55,15 @@ def positions_from_title(
 
 
 def section_summary(
-    sections: Mapping[str, DataFrame], key: str = model.CV_KEY, updated: str = "updated_by_owner"
+    sections: Mapping[str, DataFrame],
+    key: str = model.CV_KEY,
+    updated: str = "updated_by_owner",
+    cvs: DataFrame | None = None,
 ) -> DataFrame:
     """Per CV: rows of each section and the last day its owner changed one.
 
+    With ``cvs`` every CV has a row, those without section rows with counts of 0.
+
     The sections are stacked and reduced in one aggregate, in place of an outer
     join per section.
     """
@@ -74,7 +79,11 @@ def section_summary(
             F.count(F.when(here, 1)).cast("int").alias(f"{name}_count"),
             F.max(F.when(here, F.col("_day"))).alias(f"{name}_updated"),
         ]
-    return stacked.groupBy(key).agg(*columns)
+    found = stacked.groupBy(key).agg(*columns)
+    if cvs is None:
+        return found
+    every = cvs.select(key).distinct().join(found, key, "left")
+    return every.fillna(0, subset=[f"{name}_count" for name in sections])
 
 
 def with_headers(df: DataFrame, table: model.Table) -> DataFrame:
@@ -101,6 +110,8 @@ def report_layout(users: DataFrame, cvs: DataFrame, section: DataFrame | None =
     """Export rows: the base columns of user and CV in front of the section columns.
 
     All inputs carry report headers; a base column that neither side has is blank.
+    A section column with a base header, such as ``Name``, holds the section's value in
+    both places, the second under the header a reader gives a repeated one.
     """
     user_id, cv_id = "CV Partner User ID", "CV Partner CV ID"
     cv_columns = [c for c in model.BASE_HEADERS if c in cvs.columns]
@@ -120,9 +131,10 @@ def report_layout(users: DataFrame, cvs: DataFrame, section: DataFrame | None =
             cv_id, *[F.col(f"`{c}`").alias(f"{c}.1" if c in repeated else c) for c in own]
         )
         base = lookup(renamed, base, cv_id, "inner")
+    shown = {c: f"{c}.1" if f"{c}.1" in rest else c for c in model.BASE_HEADERS}
     return base.select(
         *[
-            F.col(f"`{c}`") if c in base.columns else F.lit(None).cast("string").alias(c)
+            F.col(f"`{shown[c]}`").alias(c) if c in base.columns else F.lit(None).cast("string").alias(c)
             for c in model.BASE_HEADERS
         ],
         *[F.col(f"`{c}`") for c in rest],

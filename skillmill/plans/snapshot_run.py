@@ -143,7 +143,9 @@ def load(
         done[name] = warehouse.stage(run, name, reduce(DataFrame.unionByName, parts, nothing))
     count = done["rejects"].count()
     if count and on_violation == "fail":
-        problems = done["rejects"].groupBy("table_name", "problem").count().limit(20).collect()
+        # One row per table and column: bounded by the model.
+        column = F.explode(F.split("problem", ", ")).alias("column")
+        problems = sorted(done["rejects"].select("table_name", column).groupBy("table_name", "column").count().collect())
         raise LoadError(f"{count} rows cannot be stored: {[tuple(p) for p in problems]}")
     return done, count
 
@@ -217,6 +219,10 @@ def run_snapshot(
     if PROFILE not in paths and PROFILE in before:
         paths[PROFILE] = before[PROFILE]
         done[PROFILE] = spark.read.parquet(before[PROFILE])
+    elif PROFILE not in paths:
+        # The first run without a refresh: the profile is there, and empty.
+        done[PROFILE] = warehouse.stage(run, PROFILE, refresh_profile(done, collation).limit(0))
+        paths[PROFILE] = warehouse.staged_path(run, PROFILE)
 
     figures: dict[str, float] = {}
     try:

@@ -69,7 +69,8 @@ class Warehouse:
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A report as CSV part files, each with the header; nulls are blank cells."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
-        "emptyValue", ""
-    ).csv(path)
+    """A report as CSV part files, each with the header; nulls are blank cells, blanks in cells stay."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        writer = writer.option(side, False)
+    writer.option("emptyValue", "").csv(path)

@@ -390,7 +390,7 @@ SELECT name FROM named WHERE l_returnflag <> 'A' EXCEPT SELECT name FROM named W
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 types AS (SELECT p_type, count(*) AS parts FROM part GROUP BY p_type)
 SELECT name, parts, count(*) AS lines FROM named LEFT JOIN types ON p_type = name GROUP BY name, parts""",
-    "report_layout": f"""SELECT c_name AS name, 'int:' || c_name AS name_multilang, 'int:' || o_orderpriority AS title,
+    "report_layout": f"""SELECT 'part ' || l_partkey AS name, 'int:' || c_name AS name_multilang, 'int:' || o_orderpriority AS title,
   {_EMAIL.format('c_custkey')} AS email, CAST(NULL AS VARCHAR) AS upn,
   CAST(c_custkey AS VARCHAR) AS user_key, CAST(o_orderkey AS VARCHAR) AS cv_key,
   c_mktsegment AS department, CAST(NULL AS VARCHAR) AS country,

@@ -1,7 +1,5 @@
 import datetime as dt
-import warnings
 
-import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -29,34 +27,10 @@ def multilang_spec(cell):
     return result
 
 
-def lang_spec(cell, wanted):
-    pairs = [p.partition(":")[::2] for p in (cell or "").split("|") if ":" in p]
-    found = dict(pairs)
-    return found.get(wanted, next(iter(found.values()), ""))
-
-
-def ladder_spec(title):
-    core = ["Associate", "Consultant", "Senior", "Principal", "Lead"]
-    title = title.strip()
-    for n, prefix in ((4, "Head of "), (5, "Director of ")):
-        if title.startswith(prefix):
-            kinds = ["Senior ", "Principal ", "Lead ", "Head of ", "Director of "][:n]
-            return [k + title.removeprefix(prefix).strip() for k in kinds]
-    level = next((w for w in title.split() if w in [*core, "Head", "Director"]), None)
-    if level is None:
-        return [f"{k} {title}" for k in core[1:4]]
-    family = title.replace(level, "", 1).strip()
-    if level in core:
-        at = core.index(level)
-        return [f"{k} {family}" for k in core[max(0, at - 2) : at + 1]]
-    family = family.replace("of", "", 1).strip()
-    return ladder_spec(f"{level} of {family}") if family else None
-
-
 # --- multilingual text -------------------------------------------------------------
 
 CELLS = [
-    "int:Jane Doe|no:Jane", "int:a:b", " int : x ", "int:|no:y", ":x", "plain", "", "   ", None,
+    "int:Mira Holt|no:Mira", "int:a:b", " int : x ", "int:|no:y", ":x", "plain", "", "   ", None,
     "int:a|int:b", "no:a|int:b|no:c", "|||", "int:a|", "int: a　", "a:b", "a:", "::",
 ]
 
@@ -77,7 +51,7 @@ def test_pick_agrees_with_the_map(spark):
 
 def test_language_fallback_cases(spark):
     assert apply(spark, CELLS, lambda c: text.lang_value(c, "no")) == [
-        lang_spec(c, "no") for c in CELLS
+        "Mira", "a:b", " x ", "y", "x", "", "", "", "", "b", "c", "", "a", "\xa0a\u3000", "b", "", ":",
     ]
 
 
@@ -88,7 +62,6 @@ cell = st.one_of(st.none(), st.text(alphabet="into:| ab\t ", max_size=14))
 @given(st.lists(cell, min_size=40, max_size=80))
 def test_multilang_property(spark, cells):
     assert apply(spark, cells, text.multilang_map) == [multilang_spec(c) for c in cells]
-    assert apply(spark, cells, text.lang_value) == [lang_spec(c, "int") for c in cells]
 
 
 # --- text, booleans, numbers, JSON -------------------------------------------------
@@ -165,34 +138,52 @@ def test_unique_headers():
 
 # --- dates ---------------------------------------------------------------------------
 
-DATES = """2024-01-02 2024-1-2 2024-13-01 2024-01 2024-02-30 2024-01-02T03:04:05Z 01/02/2024 1/2/2024
-12/31/2024 31/12/2024 31/31/2024 01-02-2024 12-31-2024 01.02.2024 1.2.2024 12.31.2024 01/02/24 1-2-24
-01.02.24 20240102 2024 2024/01 01/2024 5-Jan-2024 05-Jan-24 2024-Jan-05 2024-jan-05 hello 12345 29/02/2023
-2/30/2024 2024-06-31 0001-01-01 1677-01-01 2300-01-01 01/02/1600 - 13/13/2024 0/1/2024 2024-00-10 2024-10-00
-02/2024 1700-05-06 2199-12-31 31/04/2024 29/02/2024""".split() + [
-    "2024-01-02 23:00:00+05:00", "2024-01-02 03:04", "2024-01-02 junk", "2024-01-02T25:00:00",
-    "5 Jan 2024", "05 January 2024", "Jan 5, 2024", "January 5 2024", "5 jan 2024", "1 Foo 2024",
-    "01/02/2024 10:30", "01/02/2024 10:30:15", " 2024-01-02 ", "01 02 2024", "Mon, 5 Jan 2024",
-    "5th Jan 2024", "", "   ", None, "2024-01-02T03:04:05.123456", "3 Sept 2024",
-]
+#: What each cell reads as.
+DATES = {
+    '2024-01-02': [
+        '2024-01-02', '2024-1-2', '2024-01-02T03:04:05Z', '20240102', '2024-01-02 23:00:00+05:00',
+        '2024-01-02 03:04', ' 2024-01-02 ', '2024-01-02T03:04:05.123456',
+    ],
+    None: [
+        '2024-13-01', '2024-02-30', '31/31/2024', 'hello', '12345', '29/02/2023', '2/30/2024',
+        '2024-06-31', '0001-01-01', '1677-01-01', '2300-01-01', '01/02/1600', '-', '13/13/2024',
+        '0/1/2024', '2024-00-10', '2024-10-00', '31/04/2024', '2024-01-02 junk',
+        '2024-01-02T25:00:00', '1 Foo 2024', '', '   ', None,
+    ],
+    '2024-01-01': [
+        '2024-01', '2024', '2024/01', '01/2024',
+    ],
+    '2024-02-01': [
+        '01/02/2024', '1/2/2024', '01-02-2024', '01.02.2024', '1.2.2024', '01/02/24', '1-2-24',
+        '01.02.24', '02/2024', '01/02/2024 10:30', '01/02/2024 10:30:15', '01 02 2024',
+    ],
+    '2024-12-31': [
+        '12/31/2024', '31/12/2024', '12-31-2024', '12.31.2024',
+    ],
+    '2024-01-05': [
+        '5-Jan-2024', '05-Jan-24', '2024-Jan-05', '2024-jan-05', '5 Jan 2024', '05 January 2024',
+        'Jan 5, 2024', 'January 5 2024', '5 jan 2024', 'Mon, 5 Jan 2024', '5th Jan 2024',
+    ],
+    '1700-05-06': [
+        '1700-05-06',
+    ],
+    '2199-12-31': [
+        '2199-12-31',
+    ],
+    '2024-02-29': [
+        '29/02/2024',
+    ],
+    '2024-09-03': [
+        '3 Sept 2024',
+    ],
+}
 YEAR_FIRST = ["2024/01/02", "2024/1/2", "2024.01.02", "2024/13/02", "2024 01 02"]
 
 
-def date_spec(cell):
-    if cell is None or not cell.strip():
-        return None
-    cell = cell.strip()
-    day_first = not ("-" in cell and len(cell.split("-")[0]) == 4)
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        day = pd.to_datetime(cell, dayfirst=day_first, errors="coerce")
-    return None if pd.isna(day) else day.date()
-
-
-def test_dates_read_as_a_data_frame_library_does(spark):
-    found = apply(spark, DATES, dates.iso_date)
-    wrong = [(c, f, date_spec(c)) for c, f in zip(DATES, found) if f != date_spec(c)]
-    assert wrong == []
+def test_dates(spark):
+    cells = [(cell, day and dt.date.fromisoformat(day)) for day, cells in DATES.items() for cell in cells]
+    found = apply(spark, [cell for cell, _ in cells], dates.iso_date)
+    assert [(c, f, d) for (c, d), f in zip(cells, found) if f != d] == []
 
 
 def test_short_years_fall_near_the_given_year(spark):
@@ -205,7 +196,7 @@ def test_short_years_fall_near_the_given_year(spark):
 
 def test_year_first_dates(spark):
     strict = apply(spark, YEAR_FIRST, lambda c: dates.iso_date(c, strict_dates=True))
-    assert strict[:3] == [dt.date(2024, 2, 1)] * 3 == [date_spec(c) for c in YEAR_FIRST[:3]]
+    assert strict[:3] == [dt.date(2024, 2, 1)] * 3
     assert apply(spark, YEAR_FIRST, dates.iso_date) == [dt.date(2024, 1, 2)] * 3 + [
         None, dt.date(2024, 1, 2),
     ]
@@ -225,8 +216,13 @@ def test_year_first_dates(spark):
     )
 )
 def test_date_property(spark, samples):
+    """A formatted day reads as itself; with the month first only if it cannot be a day first."""
     cells = [d.strftime(form) for d, form in samples]
-    assert apply(spark, cells, dates.iso_date) == [date_spec(c) for c in cells]
+    expected = [
+        dt.date(d.year, d.day, d.month) if form == "%m/%d/%Y" and d.day <= 12 else d
+        for d, form in samples
+    ]
+    assert apply(spark, cells, dates.iso_date) == expected
 
 
 def test_date_defaults_and_repair(spark):
@@ -274,12 +270,19 @@ def test_leadership_titles(spark):
 
 
 def test_ladders(spark):
-    titles = [
-        "Lead Data Engineer", "Associate Analyst", "Senior Analyst", "Head of Design",
-        "Director of Design", "Painter", "Design Head", " Principal  Data Architect ",
-        "Leadership Lead", "Director Design of things",
-    ]
-    assert apply(spark, titles, career.career_ladder) == [ladder_spec(t) for t in titles]
+    ladders = {
+        "Lead Data Engineer": ["Senior Data Engineer", "Principal Data Engineer", "Lead Data Engineer"],
+        "Associate Analyst": ["Associate Analyst"],
+        "Senior Analyst": ["Associate Analyst", "Consultant Analyst", "Senior Analyst"],
+        "Head of Design": ["Senior Design", "Principal Design", "Lead Design", "Head of Design"],
+        "Director of Design": ["Senior Design", "Principal Design", "Lead Design", "Head of Design", "Director of Design"],
+        "Painter": ["Consultant Painter", "Senior Painter", "Principal Painter"],
+        "Design Head": ["Senior Design", "Principal Design", "Lead Design", "Head of Design"],
+        " Principal  Data Architect ": ["Consultant Data Architect", "Senior Data Architect", "Principal Data Architect"],
+        "Leadership Lead": ["Senior ership Lead", "Principal ership Lead", "Lead ership Lead"],
+        "Director Design of things": ["Senior Design  things", "Principal Design  things", "Lead Design  things", "Head of Design  things", "Director of Design  things"],
+    }
+    assert apply(spark, list(ladders), career.career_ladder) == list(ladders.values())
     assert apply(spark, ["Lead Data Engineer", None], career.career_ladder) == [
         ["Senior Data Engineer", "Principal Data Engineer", "Lead Data Engineer"], None,
     ]

@@ -304,7 +304,7 @@ def test_calendar(spark):
     ]
 
 
-def test_report_layout_repeats_name_under_its_own_header(spark):
+def test_report_layout_has_the_section_name_in_both_places(spark):
     users = spark.createDataFrame(
         [("1", "Ann", "a@x.org")], "`CV Partner User ID` string, Name string, Email string"
     )
@@ -317,10 +317,17 @@ def test_report_layout_repeats_name_under_its_own_header(spark):
     assert found.columns == [*model.BASE_HEADERS, "Name.1"]
     row = found.first()
     assert (row["Name"], row["Name.1"], row["CV Partner CV ID"], row["Country"]) == (
-        "Ann", "Tech Lead", "c1", None,
+        "Tech Lead", "Tech Lead", "c1", None,
     )
 
 
+def test_section_summary_has_a_row_for_every_cv(spark):
+    cvs = spark.createDataFrame([("a",), ("b",)], "cv_id string")
+    work = spark.createDataFrame([("a", dt.date(2024, 1, 2))], "cv_id string, updated_by_owner date")
+    found = derive.section_summary({"work": work}, "cv_id", cvs=cvs)
+    assert rows(found, "cv_id", "work_count", "work_updated") == [("a", 1, dt.date(2024, 1, 2)), ("b", 0, None)]
+
+
 # --- checks -------------------------------------------------------------------------
 
 
