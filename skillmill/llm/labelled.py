@@ -17,8 +17,8 @@ def fold(id_col: str, of: int) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> tuple[DataFrame, float]:
     """(label, text), and the share of label 1 among all training rows: at most ``per_class`` training rows of each class, those of smallest hash.
 
-    Near copies count once: of the documents with the same smallest word hash and
-    label one stays.  An id labelled several times has its largest label; null
+    Near copies count once: of the documents with the same smallest hash of three
+    words and the same label one stays.  An id labelled several times has its largest label; null
     labels, ids and texts take no part.
     """
     marked = (
@@ -35,8 +35,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_cl
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     found = chosen.join(texts, "doc_id").where("text is not null")
-    key = F.array_min(F.transform(F.split(F.lower("text"), " "), lambda w: F.xxhash64(w)))
-    return found.groupBy("label", key.alias("key")).agg(F.min_by("text", "doc_id").alias("text")).select("label", "text"), share
+    words = found.withColumn("words", F.split(F.lower("text"), " "))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0)))
+    key = F.array_min(F.transform(starts, lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(3)])))
+    return words.groupBy("label", key.alias("key")).agg(F.min_by("text", "doc_id").alias("text")).select("label", "text"), share
 
 
 def logistic(features: np.ndarray, label: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:

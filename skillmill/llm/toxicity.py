@@ -12,8 +12,8 @@ logistic curve.  A word alone has no score; its weight counts as its clause lets
 
 The lexicon is learned: words, and word beginnings of some letters, that are many times
 as frequent in documents labelled toxic, among at most ``per_class`` labelled documents of
-each class.  The curve is fitted on the same documents, each half of them read with the
-lexicon of the other half.  Every text is read whole.
+each class.  The curve is fitted on the same documents, each fold of them read with the
+lexicon of the other folds.  Every text is read whole.
 
 Defined results: null or empty text, or one without a match, has no clause and gets the
 constant of the curve; without labels of both classes every score is 0.
@@ -52,6 +52,7 @@ REACH = 4
 FACTORS = {"target": 1.25, "negation": 0.5, "report": 0.6}
 STEM_LETTERS = range(4, 9)
 FEATURES = 3
+FOLDS = 4
 
 _END = re.compile(r"[.!?;:\n]\W*$")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -107,7 +108,7 @@ def plain_word(token: str) -> str:
     word = _EDGE.sub("", token.lower())
     if word and not word.isalpha() and word[0].isalpha() and any(c in word for c in "013457@$"):
         letters = sum(c.isalpha() for c in word)
-        if letters * 2 > len(word):
+        if letters * 2 >= len(word):
             return word.translate(_DISGUISE)
     return word
 
@@ -189,12 +190,12 @@ def fit(rows: list[tuple[int, str]], share: float) -> dict:
     by = {k: [r for r in rows if r[0] == k] for k in (0, 1)}
     if not by[0] or not by[1] or not 0 < share < 1:
         return {"lexicon": {}, "weights": np.array([0.0] * FEATURES + [-30.0])}
-    halves = [[*by[0][k::2], *by[1][k::2]] for k in (0, 1)]
+    folds = [[*by[0][k::FOLDS], *by[1][k::FOLDS]] for k in range(FOLDS)]
     features, label = [], []
-    for own, other in (halves, halves[::-1]):
-        grammar = Grammar(learn_lexicon(other))
+    for k, own in enumerate(folds):
+        grammar = Grammar(learn_lexicon(r for i, fold_ in enumerate(folds) if i != k for r in fold_))
         features += [grammar.features(t) for _, t in own]
-        label += [k for k, _ in own]
+        label += [y for y, _ in own]
     weights = logistic(np.array(features).reshape(-1, FEATURES), np.array(label))
     weights[-1] += np.log(share / (1 - share))
     return {"lexicon": learn_lexicon(rows), "weights": weights}
