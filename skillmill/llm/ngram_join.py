@@ -13,8 +13,9 @@ document with so many empty groups that this is not certain goes to one more
 tree of its class, where it meets the others of its kind.
 
 In a tree, points are packed into leaves by what is already known to be connected,
-each with its bounding box.  Two boxes whose bound is too low are not opened, points
-whose bound is too low are not compared, and the rest is verified on the sets.
+each with its bounding box.  Two boxes whose bound is too low are not opened.  Points are
+held at a finer grain, every group cut into cells: two sets that just miss the threshold
+then seldom pass the bound, and only what passes it is verified on the sets.
 
 Who is compared.  Documents with equal sets are one class.  Some rounds link each component
 to documents it shares most trees with; then all pairs of documents that share any tree and are
@@ -46,12 +47,16 @@ _MULTIPLIERS = np.array(
 )
 #: Shingles of one group on average; fewer make more trees, more make empty bounds.
 GROUP_SIZE = 5
+#: Cells each group is cut into where points are compared.
+FINE = 8
 #: Points of a leaf, about.
 LEAF = 64
 #: Rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
 ROUNDS, SOME, OFFERS = 4, 8, 3
 #: Largest set the classes are laid out for.
 LARGEST = 1 << 40
+#: What a count of a cell says at most; so many or more.
+FULL = 255
 
 ROW = "bucket int, kind string, a long, b long, c long, d long, keys binary, ids binary"
 
@@ -243,14 +248,14 @@ def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def points(shape: Shape, size: int):
-    """Maps texts to the sorted set and the count vectors of the document's two trees."""
+    """Maps texts to the sorted set and the cell counts of the document's two trees."""
 
     def vector(found: np.ndarray, tree: int) -> bytes:
         if tree < 1:
             return b""
-        groups = shape.groups(np.array([tree]))
-        cell, _ = counted(found, np.zeros(len(found), dtype=np.int64), groups)
-        return np.bincount(cell, minlength=int(groups[0])).astype(np.int32).tobytes()
+        cells = shape.groups(np.array([tree])) * FINE
+        cell, _ = counted(found, np.zeros(len(found), dtype=np.int64), cells)
+        return np.minimum(np.bincount(cell, minlength=int(cells[0])), FULL).astype(np.uint8).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -271,19 +276,37 @@ def points(shape: Shape, size: int):
     return run
 
 
+def may_link(x: np.ndarray, y: np.ndarray, needed: np.ndarray) -> np.ndarray:
+    """Whether the summed minima of the counts in the rows of ``x`` and ``y`` reach what is needed.
+
+    A cell that is full on both sides may hold more than it says, so such pairs always pass.
+    """
+    least = np.minimum(x, y)
+    return (least.sum(1, dtype=np.int64) >= needed) | (least.max(1, initial=0) == FULL)
+
+
+def by_tree(docs: DataFrame) -> DataFrame:
+    """(rep, n, tree, counts): a row per document and size class whose trees it can be in."""
+    two = F.array(
+        F.struct(F.col("class").alias("tree"), F.col("own").alias("counts")),
+        F.struct((F.col("class") - 1).alias("tree"), F.col("back").alias("counts")),
+    )
+    return docs.select("rep", "n", F.inline(two)).where("tree >= 1")
+
+
 def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
     """Of the pairs (u, v, tree), those whose sets reach the similarity."""
 
-    def side(name: str, columns: list[str]) -> DataFrame:
-        return docs.select(F.col("rep").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+    def side(name: str, frame: DataFrame, columns: list[str], *more: str) -> DataFrame:
+        return frame.select(F.col("rep").alias(name), *more, *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
     def bound(batches):
         for batch in batches:
             held = batch.to_pydict()
-            keep = [
-                bool(np.minimum(np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)).sum() >= shape.needed(na, nb))
-                for a, b, na, nb in zip(held["a"], held["b"], held["u_n"], held["v_n"], strict=True)
-            ]
+            keep = []
+            for a, b, na, nb in zip(*[held[c] for c in ("u_counts", "v_counts", "u_n", "v_n")], strict=True):
+                x, y = (np.frombuffer(c, np.uint8)[None] for c in (a, b))
+                keep.append(bool(may_link(x, y, shape.needed(na, nb))[0]))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     def exact(batches):
@@ -296,14 +319,10 @@ def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
                 keep.append(100 * common >= shape.percent * (len(a) + len(b) - common) and common > 0)
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    vectors = ["n", "class", "own", "back"]
-    seen = pairs.join(side("u", vectors), "u").join(side("v", vectors), "v")
-
-    def of(s: str):
-        return F.when(F.col(f"{s}_class") == F.col("tree"), F.col(f"{s}_own")).otherwise(F.col(f"{s}_back"))
-
-    passed = seen.select("u", "v", "u_n", "v_n", of("u").alias("a"), of("v").alias("b")).mapInArrow(bound, "u long, v long")
-    sets = passed.join(side("u", ["shingles"]), "u").join(side("v", ["shingles"]), "v")
+    for name in ("u", "v"):
+        pairs = pairs.join(side(name, by_tree(docs), ["n", "counts"], "tree"), [name, "tree"])
+    passed = pairs.mapInArrow(bound, "u long, v long")
+    sets = passed.join(side("u", docs, ["shingles"]), "u").join(side("v", docs, ["shingles"]), "v")
     return sets.mapInArrow(exact, "u long, v long")
 
 
@@ -327,7 +346,7 @@ def small_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["u", "v", "tree"])
 
 
-LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes binary, counts binary, least binary, most binary"
+LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes binary, counts binary, most binary"
 
 
 def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,11 +355,15 @@ def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         out = []
         for rows in batch.column("held").to_pylist():
             x = listed(rows)
-            counts = np.stack([np.frombuffer(r["counts"], np.int32) for r in rows])
+            counts = np.stack([np.frombuffer(r["counts"], np.uint8) for r in rows])
+            full = (counts == FULL).any()
+            groups = counts.reshape(len(rows), -1, FINE).sum(2, dtype=np.int32)
             sizes = np.array([r["n"] for r in rows], dtype=np.int64)
-            out.append([a.tobytes() for a in (x["rep"], x["component"], sizes, counts, counts.min(0), counts.max(0))])
+            # A box with a full cell is open to all.
+            most = np.full_like(groups[0], sizes.max()) if full else groups.max(0)
+            out.append([a.tobytes() for a in (x["rep"], x["component"], sizes, counts, most)])
         own = [batch.column(c) for c in ("key", "tree", "leaf")]
-        made = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.binary())] * 6
+        made = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.binary())] * 5
         yield pa.RecordBatch.from_arrays([*own, *made], [x.split()[0] for x in LEAF_ROW.split(", ")])
 
 
@@ -355,14 +378,14 @@ def leaf_pairs(shape: Shape):
                 box = [np.frombuffer(held[f"{s}_most"][i], np.int32) for s in "ab"]
                 if np.minimum(*box).sum() < shape.needed(a["sizes"].min(), b["sizes"].min()):
                     continue
-                x, y = (np.frombuffer(held[f"{s}_counts"][i], np.int32).reshape(len(p["reps"]), -1) for s, p in (("a", a), ("b", b)))
+                x, y = (np.frombuffer(held[f"{s}_counts"][i], np.uint8).reshape(len(p["reps"]), -1) for s, p in (("a", a), ("b", b)))
                 same = held["a_leaf"][i] == held["b_leaf"][i]
                 for k in range(len(x)):
                     enough = a["comps"][k] != b["comps"]
                     if same:
                         enough[: k + 1] = False
                     at = np.flatnonzero(enough)
-                    at = at[np.minimum(x[k], y[at]).sum(1) >= shape.needed(a["sizes"][k], b["sizes"][at])]
+                    at = at[may_link(x[k], y[at], shape.needed(a["sizes"][k], b["sizes"][at]))]
                     u.append(np.minimum(a["reps"][k], b["reps"][at]))
                     v.append(np.maximum(a["reps"][k], b["reps"][at]))
                     trees.append(np.full(len(at), held["tree"][i]))
@@ -390,13 +413,12 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
     leaf = F.pmod(F.xxhash64("component"), F.ceil(F.col("n_key") / LEAF).cast("long")) * F.lit(1 << 20) + F.pmod(
         F.xxhash64("rep"), F.least(F.ceil(F.col("n_comp") / LEAF), F.lit(1 << 20)).cast("long")
     )
-    counts = F.when(F.col("class") == F.col("tree"), F.col("own")).otherwise(F.col("back"))
-    points_ = large.join(size, ["key", "component"]).join(docs.select("rep", "n", "class", "own", "back"), "rep")
-    grouped = points_.select("key", "tree", leaf.alias("leaf"), F.struct("rep", "component", "n", counts.alias("counts")).alias("x"))
+    points_ = large.join(size, ["key", "component"]).join(by_tree(docs), ["rep", "tree"])
+    grouped = points_.select("key", "tree", leaf.alias("leaf"), F.struct("rep", "component", "n", "counts").alias("x"))
     leaves = stored(grouped.groupBy("key", "tree", "leaf").agg(F.collect_list("x").alias("held")).mapInArrow(packed_leaves, LEAF_ROW), "leaves")
 
     def side(s: str, *more: str) -> DataFrame:
-        held = [c for c in leaves.columns if c not in ("key", "tree", "least")]
+        held = [c for c in leaves.columns if c not in ("key", "tree")]
         return leaves.select("key", *more, *[F.col(c).alias(f"{s}_{c}") for c in held])
 
     opened = side("a", "tree").join(side("b"), "key").where("a_leaf <= b_leaf")
