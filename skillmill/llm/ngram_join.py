@@ -297,8 +297,14 @@ def by_tree(docs: DataFrame) -> DataFrame:
 def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
     """Of the pairs (u, v, tree), those whose sets reach the similarity."""
 
-    def side(name: str, frame: DataFrame, columns: list[str], *more: str) -> DataFrame:
-        return frame.select(F.col("rep").alias(name), *more, *[F.col(c).alias(f"{name}_{c}") for c in columns])
+    def met(pairs: DataFrame, frame: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+        # Stored pairs have a known size: where they are few, Spark sends them to the documents and
+        # leaves those in place.  Only rows of pairs are dealt out then, both sides by the pair.
+        sides = [
+            pairs.join(frame.select(F.col("rep").alias(s), *on, *[F.col(c).alias(f"{s}_{c}") for c in columns]), [s, *on])
+            for s in ("u", "v")
+        ]
+        return sides[0].join(sides[1], ["u", "v", *on])
 
     def bound(batches):
         for batch in batches:
@@ -319,11 +325,9 @@ def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
                 keep.append(100 * common >= shape.percent * (len(a) + len(b) - common) and common > 0)
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    for name in ("u", "v"):
-        pairs = pairs.join(side(name, by_tree(docs), ["n", "counts"], "tree"), [name, "tree"])
-    passed = pairs.mapInArrow(bound, "u long, v long")
-    sets = passed.join(side("u", docs, ["shingles"]), "u").join(side("v", docs, ["shingles"]), "v")
-    return sets.mapInArrow(exact, "u long, v long")
+    seen = met(stored(pairs, "pairs"), by_tree(docs), ["tree"], ["n", "counts"])
+    passed = stored(seen.mapInArrow(bound, "u long, v long"), "passed")
+    return met(passed, docs, [], ["shingles"]).mapInArrow(exact, "u long, v long")
 
 
 def listed(rows: list) -> dict[str, np.ndarray]:
