@@ -300,6 +300,13 @@ def test_the_bound_never_falls_below_the_overlap():
         assert np.minimum(*points).sum() >= len(np.intersect1d(a, b))
 
 
+def test_full_cells_pass_the_bound():
+    full = np.full((1, 4), ngram_join.FULL, dtype=np.uint8)
+    few = np.array([[3, 0, 1, 0]], dtype=np.uint8)
+    assert ngram_join.may_link(full, full, np.array([10**6])).all()
+    assert not ngram_join.may_link(full, few, np.array([5])).any() and ngram_join.may_link(full, few, np.array([4])).all()
+
+
 def test_line_windows(session, edge, empty):
     rows = [
         (1, "a\nb\nc\nd", 1), (2, "x\na\nb\nc\nd\ny", 1), (3, "a\nb", 1), (4, "p\nq\nr\np\nq\nr", 1), (5, "\n\n\n\n", 1),
