@@ -117,6 +117,7 @@ def load(
             # Finding the person reads the rows twice, so the report is parsed first.
             raw = warehouse.stage(run, f"raw/{table.name}", report)
             store(table, people_reports[table](raw), None)
+            skipped.append(transform.unresolved_people(raw, users, table))
         else:
             store(table, transform.typed_rows(report, table, **options), cvs)
 

@@ -141,13 +141,36 @@ def cv_rows(users: DataFrame, order: Sequence[str] = FILE_ORDER, **options) -> D
 
 def _resolved(df: DataFrame, users: DataFrame) -> DataFrame:
     """Report rows with the user they belong to; rows of nobody are left out."""
+    return resolve_identity(_with_identity(df), users, model.USER_KEY)
+
+
+def _with_identity(df: DataFrame) -> DataFrame:
     named = df
     for field in model.IDENTITY_FIELDS:
         cell = column(df, field.headers)
         named = named.withColumn(
             field.name, F.lit(None).cast("string") if cell is None else cell
         )
-    return resolve_identity(named, users, model.USER_KEY)
+    return named
+
+
+def unresolved_people(df: DataFrame, users: DataFrame, table: Table) -> DataFrame:
+    """(table_name, parent, rows) for report rows that name nobody known.
+
+    ``parent`` is the first identifier of the row, null where it has none.  Rows are counted
+    per identifiers before the people are looked up, so one that fills a third of the report
+    meets the join as a single row.
+    """
+    names = [f.name for f in model.IDENTITY_FIELDS]
+    counted = _with_identity(df).groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
+    left = resolve_identity(counted, users, model.USER_KEY, how="left")
+    first = F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names])
+    return (
+        left.filter(F.col(model.USER_KEY).isNull())
+        .groupBy(first.alias("parent"))
+        .agg(F.sum("rows").alias("rows"))
+        .select(F.lit(table.name).alias("table_name"), "parent", "rows")
+    )
 
 
 def clearance_rows(

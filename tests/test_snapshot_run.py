@@ -104,8 +104,10 @@ def test_refresh_and_retention(spark, tmp_path):
             "Email,Date,Percent Available,Source\n"
             "mira@holt.example,2024-04-01,30,Manual\n"
             "MIRA@holt.example,2024-07-01,150,\n"
+            "ghost@none.example,2024-07-01,10,\n"
+            "ghost@none.example,2024-07-02,10,\n"
         ),
-        "sc_clearance.csv": "Email,Clearance,Valid From,Valid To\nmira@holt.example,,,\n",
+        "sc_clearance.csv": "Email,Clearance,Valid From,Valid To\nmira@holt.example,,,\n,SC,,\n",
         "technologies.csv": (
             "CV Partner CV ID,Skill name,Year experience,Proficiency (0-5)\n"
             "c-77,SQL,7,3\nnobody,Perl,1,1\n"
@@ -126,6 +128,12 @@ def test_refresh_and_retention(spark, tmp_path):
         "2024-04-01": (30, "Manual"),
         "2024-07-01": (100, "Fake generator"),
     }
+    # Rows that name nobody are counted, those without any identifier under null.
+    people = [r for r in rows(spark, tmp_path / "out", "skipped") if r["table_name"].startswith("user_")]
+    assert sorted(people, key=lambda r: r["table_name"]) == [
+        {"table_name": "user_availability", "parent": "ghost@none.example", "rows": 2},
+        {"table_name": "user_clearance", "parent": None, "rows": 1},
+    ]
     clearances = {(r["clearance"], r["valid_from"].isoformat()) for r in rows(spark, tmp_path / "out", "user_clearance")}
     assert clearances == {("SC", "2023-01-01"), ("None", "1900-01-01")}
     assert {r["name"] for r in rows(spark, tmp_path / "out", "dim_clearance")} == {"SC", "None"}
