@@ -31,7 +31,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return ngram_join.keep_one(docs, shingle=5, percent=85)
+    return ngram_join.keep_one(docs, shingle=5, percent=80)
 
 
 def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

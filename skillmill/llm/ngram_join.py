@@ -45,8 +45,8 @@ _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
 )
-#: Shingles of one group on average; fewer make more trees, more make empty bounds.
-GROUP_SIZE = 5
+#: How far the groups that are expected to be filled exceed the shingles in which a linked pair may differ.
+SPARE = 1.125
 #: Cells each group is cut into where points are compared.
 FINE = 8
 #: Points of a leaf, about.
@@ -91,18 +91,30 @@ def class_tops(percent: int) -> np.ndarray:
     return np.array(tops, dtype=np.int64)
 
 
+def group_quarters(percent: int) -> int:
+    """Shingles of one group on average, times four; fewer make more trees.
+
+    The most for which a document fills more groups than it differs in from a partner: of ``g``
+    shingles a group, ``(1 - exp(-g)) / g`` groups a shingle are filled.
+    """
+    differing = (100 - percent) / percent
+    fit = [q for q in range(1, 33) if (1 - np.exp(-q / 4)) / (q / 4) >= SPARE * differing]
+    return max(fit, default=1)
+
+
 class Shape:
     """Size classes, groups and bounds for a threshold in percent."""
 
     def __init__(self, percent: int):
         self.percent = percent
         self.tops = class_tops(percent)
+        self.quarters = group_quarters(percent)
 
     def classes(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.tops, n)
 
     def groups(self, tree: np.ndarray) -> np.ndarray:
-        return -(-self.tops[tree] // GROUP_SIZE) + 2
+        return -(-self.tops[tree] * 4 // self.quarters) + 2
 
     def differing(self, n: np.ndarray, tree: np.ndarray) -> np.ndarray:
         """Most shingles in which a document and a partner of the tree differ."""

@@ -286,6 +286,29 @@ def test_near_components(session, edge, empty):
     assert ngram_join.near_components(empty).count() == 0
 
 
+def test_the_pipeline_drops_near_copies_from_four_fifths_on(session):
+    random.seed(9)
+    rows = []
+    for i, changes in enumerate([3, 3, 3, 4, 4, 5, 5, 9]):  # 160 words: 0.82 with three far words changed, below 0.8 from four on
+        words = [f"w{random.randint(0, 10**6)}" for _ in range(160)]
+        rows.append((10 * i, " ".join(words)))
+        for k in range(changes):
+            words[10 + 15 * k] = f"n{k}"
+        rows.append((10 * i + 1, " ".join(words)))
+    docs = session.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOC)
+    expected = {c for _, _, c in jaccard_components(rows, 5, 80)}
+    assert {d for d, _ in rows} - expected == {1, 11, 21} and jaccard_components(rows, 5, 85) == Counter((d, 156, d) for d, _ in rows)
+    assert {r.doc_id for r in corpus_pipeline.dedup_documents(session, docs, SF).collect()} == expected
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_few_documents_go_to_the_extra_tree(percent):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**64, 200, dtype=np.uint64)) for _ in range(200)]
+    keys, _ = ngram_join.tree_keys(sets, ngram_join.Shape(percent))
+    assert (keys < 256).sum() <= 20
+
+
 def test_the_bound_never_falls_below_the_overlap():
     rng = np.random.default_rng(1)
     shape = ngram_join.Shape(85)
