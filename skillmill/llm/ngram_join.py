@@ -192,10 +192,10 @@ def tree_rows(shape: Shape, size: int, buckets: int):
                 h = xxhash.xxh3_128_intdigest(found.tobytes())
                 halves = [(h >> s & (1 << 64) - 1) - (1 << 63) for s in (0, 64)]
                 rows.append((hash((doc, i)) % buckets, "doc", doc, len(found), *halves, None, None))
-            # Copies within the block need not all be packed.
+            # Copies within the block need not all be packed; a row without an id stands for none of them.
             seen: dict[tuple, int] = {}
             for i, row in enumerate(rows):
-                if seen.setdefault(row[4:6], i) != i:
+                if ids[i] is not None and seen.setdefault(row[4:6], i) != i:
                     sets[i] = sets[i][:0]
             keys, owner = tree_keys(sets, shape)
             if not len(keys):

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -286,6 +287,24 @@ def test_near_components(session, edge, empty):
     assert ngram_join.near_components(empty).count() == 0
 
 
+def test_a_row_without_an_id_takes_no_place_in_its_block():
+    words = [f"w{i}" for i in range(80)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    block = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, 1, 2], pa.int64()), "text": [text, text, near]})
+    (found,) = ngram_join.tree_rows(ngram_join.Shape(85), 4, 8)(iter([block]))
+    members = [np.frombuffer(r["ids"], np.int64) for r in found.to_pylist() if r["kind"] == "members"]
+    assert set(np.concatenate(members).tolist()) == {1, 2}
+
+
+def test_near_copies_of_a_text_that_a_row_without_an_id_has_too(session):
+    words = [f"w{i}" for i in range(80)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(None, text), (1, text), (2, near)]
+    docs = session.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOC).coalesce(1)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_components(docs).collect())
+    assert found == jaccard_components(rows, 4, 85)
+
+
 def test_the_pipeline_drops_near_copies_from_four_fifths_on(session):
     random.seed(9)
     rows = []
