@@ -2,7 +2,9 @@
 
 Five transducers read the words of a clause and are composed into one machine:
 
-* insult and threat emit the weight of a word (a lexicon, below);
+* insult emits the weight of a word of the lexicon (below) and accepts the clause;
+* threat emits the weight of a threatening verb; it accepts the clause if a target stood a few words
+  before the verb, or follows it before the clause ends, and only then do the emitted weights count;
 * target remembers a person addressed or named a few words ago, and raises the weight;
 * negation remembers a negating word a few words ago, and lowers it;
 * reported speech remembers a verb of saying or an open quotation until the clause ends, and lowers it.
@@ -36,7 +38,13 @@ from skillmill.llm.labelled import logistic, probability, sample
 NONE, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE = range(7)
 
 # Word lists, chosen here for English, German, French and Spanish.
-THREATS = frozenset("kill murder hurt burn töten umbringen verletzen tuer frapper matar golpear".split())
+# ``tue`` and ``tues`` (French: kill) are left out; German ``tue`` means do.
+THREATS = frozenset(
+    """kill kills killed killing murder murders murdered murdering hurt hurts hurting burn burns burned burnt burning
+    töten töte tötest tötet tötete getötet umbringen umbringe umbringst umbringt umgebracht verletzen verletze verletzt verletzte
+    tuer tuez tué tuée tuerai tuera tuerez tueront frapper frappe frappes frappé frapperai frappera
+    matar mato mata matas matan maté mataré matará matado golpear golpeo golpea golpeas golpeé golpearé golpeará""".split()
+)
 TARGETS = frozenset(
     "you your you're youre he she they him her them du dich ihr euch sie tu te toi vous ils elles tú usted ustedes vosotros".split()
 )
@@ -50,6 +58,7 @@ REPORTS = frozenset(
 #: Words a target or a negation stays in force.
 REACH = 4
 FACTORS = {"target": 1.25, "negation": 0.5, "report": 0.6}
+THREAT_WEIGHT = 2.0
 STEM_LETTERS = range(4, 9)
 FEATURES = 3
 FOLDS = 4
@@ -60,10 +69,37 @@ _DISGUISE = str.maketrans("013457@$", "oieastas")
 
 
 class Transducer:
-    """States, a step (state, symbol) -> (state, factor), and the state a clause begins in."""
+    """States, a step (state, symbol) -> (state, factor), and the symbols whose weights a last state lets count."""
+
+    def __init__(self, states: int, step, accepts=lambda state: ()):
+        self.states, self.step, self.accepts = states, step, accepts
+
 
-    def __init__(self, states: int, step, start: int = 0):
-        self.states, self.step, self.start = states, step, start
+def insult() -> Transducer:
+    """Accepts a clause with a word of the lexicon."""
+
+    def step(state: int, read: int) -> tuple[int, float]:
+        return (1 if read == INSULT else state), 1.0
+
+    return Transducer(2, step, lambda state: (INSULT,) if state else ())
+
+
+def threat() -> Transducer:
+    """Emits the weight of threats and accepts a clause that has their target too.
+
+    Until a threat, the state is for how many words a target stays in force; then whether there is one.
+    """
+    waiting, settled = REACH + 1, REACH + 2
+
+    def step(state: int, read: int) -> tuple[int, float]:
+        factor = THREAT_WEIGHT if read == THREAT else 1.0
+        if state >= waiting:
+            return (settled if read == TARGET else state), factor
+        if read == THREAT:
+            return (settled if state else waiting), factor
+        return (REACH if read == TARGET else max(0, state - 1)), factor
+
+    return Transducer(REACH + 3, step, lambda state: (THREAT,) if state == settled else ())
 
 
 def reach(symbol: int, factor: float) -> Transducer:
@@ -85,24 +121,38 @@ def reported() -> Transducer:
     return Transducer(3, step)
 
 
-def compose(*parts: Transducer) -> tuple[np.ndarray, np.ndarray, int]:
-    """The product machine: tables of next state and factor by (state, symbol), and its start."""
+def compose(*parts: Transducer) -> tuple[np.ndarray, np.ndarray, list[tuple[int, ...]]]:
+    """The product machine, begun in state 0: next state and factor by (state, symbol), symbols that count by last state."""
     sizes = [p.states for p in parts]
     total = int(np.prod(sizes))
-    after, factor = np.zeros((total, 7), dtype=np.int64), np.ones((total, 7))
+    after, factor, accepted = np.zeros((total, 7), dtype=np.int64), np.ones((total, 7)), []
     for state in range(total):
         held = np.unravel_index(state, sizes)
+        accepted.append(tuple(x for p, s in zip(parts, held, strict=True) for x in p.accepts(int(s))))
         for symbol in range(7):
             steps = [p.step(int(s), symbol) for p, s in zip(parts, held, strict=True)]
             after[state, symbol] = np.ravel_multi_index([s for s, _ in steps], sizes)
             factor[state, symbol] = np.prod([f for _, f in steps])
-    return after, factor, int(np.ravel_multi_index([p.start for p in parts], sizes))
+    return after, factor, accepted
 
 
-_AFTER, _FACTOR, START = compose(reach(TARGET, FACTORS["target"]), reach(NEGATION, FACTORS["negation"]), reported())
+START = 0
+_AFTER, _FACTOR, ACCEPTED = compose(
+    insult(), threat(), reach(TARGET, FACTORS["target"]), reach(NEGATION, FACTORS["negation"]), reported()
+)
 AFTER, FACTOR = _AFTER.tolist(), _FACTOR.tolist()
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, as ``split`` has them, and its line feeds."""
+    lines = (text or "").split("\n")
+    found = lines[0].split()
+    for line in lines[1:]:
+        found.append("\n")
+        found += line.split()
+    return found
+
+
 def plain_word(token: str) -> str:
     """Lower case, without marks at the ends, digits and signs inside read as the letters they stand for."""
     word = _EDGE.sub("", token.lower())
@@ -140,26 +190,30 @@ class Grammar:
     def clauses(self, text: str | None) -> list[float]:
         """The weights of the clauses that hold an insult, or a threat against a target."""
         found = []
-        state, weight, hit, quoted = START, 0.0, False, 0
-        for item in self.memo.all((text or "").replace("\n", " \n ").split(" ")):
+        state, insults, threats = START, 0.0, 0.0
+
+        def settle() -> None:
+            counted = ACCEPTED[state]
+            if counted:
+                found.append((insults if INSULT in counted else 0.0) + (threats if THREAT in counted else 0.0))
+
+        for item in self.memo.all(words_of(text)):
             if not item:
                 if state != START:
                     state = AFTER[state][NONE]
                 continue
             symbol, own, quotes, end = item
             if symbol == INSULT:
-                weight, hit = weight + own * FACTOR[state][symbol], True
-            elif symbol == THREAT and state // (3 * (REACH + 1)):
-                weight, hit = weight + 2.0 * FACTOR[state][symbol], True
+                insults += own * FACTOR[state][symbol]
+            elif symbol == THREAT:
+                threats += FACTOR[state][symbol]
             state = AFTER[state][symbol]
             if quotes:
                 state = AFTER[state][QUOTE]
             if end:
-                if hit:
-                    found.append(weight)
-                state, weight, hit = START, 0.0, False
-        if hit:
-            found.append(weight)
+                settle()
+                state, insults, threats = START, 0.0, 0.0
+        settle()
         return found
 
     def features(self, text: str | None) -> list[float]:
@@ -172,7 +226,7 @@ def learn_lexicon(rows: Iterable[tuple[int, str]], least: int = 3, factor: float
     counts, size = (Counter(), Counter()), [0, 0]
     for label, text in rows:
         size[label] += 1
-        words = {plain_word(t) for t in set((text or "").split())}
+        words = {plain_word(t) for t in set(words_of(text))}
         counts[label].update({p for w in words if len(w) > 2 for p in parts(w)})
     lexicon = {}
     for part, toxic in counts[1].items():

@@ -174,6 +174,25 @@ def test_the_grammar_reads_clauses():
     assert g.clauses(None) == [] and g.clauses("") == [] and len(g.clauses("F00L! fool.\nfool")) == 3
 
 
+def test_a_threat_counts_with_a_target_before_or_after_it():
+    g = toxicity.Grammar({"idiot": 4.0})
+    for text in ("I will kill you", "I will kill every last one of you tonight", "she kills him", "they killed her", "killing you\nno more"):
+        assert len(g.clauses(text)) == 1, text
+    for text in ("I will kill the lights. You may go", "kill it\nyou go", "you, who came by the old road, kill time", "hurt"):
+        assert g.clauses(text) == [], text
+    once, twice, negated = (g.clauses(t)[0] for t in ("I will kill you", "I will kill and burn you", "I will not kill you"))
+    assert negated < once < twice
+    assert g.clauses("the idiot may kill time") == g.clauses("the idiot came")
+
+
+def test_words_are_parted_as_in_training():
+    g = toxicity.Grammar({"idiot": 4.0})
+    expected = g.clauses("you idiot")
+    for space in ("\t", "\u00a0", "\r", "\u2003", "  ", "\u3000"):
+        assert g.clauses(f"you{space}idiot") == expected and expected
+    assert [w for w in toxicity.words_of("a\tb\nc \u00a0d") if w != "\n"] == "a\tb\nc \u00a0d".split()
+
+
 def test_classifiers_without_labels(session, edge, empty):
     none = session.createDataFrame([(None, None, None)], "doc_id long, quality int, toxic int")
     assert {r.score < 0.01 for r in toxicity.toxicity(edge, none, F.lit(True)).collect()} == {True}
