@@ -8,6 +8,7 @@ or address that occurs again, in the same text or another, has the same surrogat
   digit, IBANs their country, private IPv4 addresses their network.
 * Letters stay letters of their case, hexadecimal digits hexadecimal digits.
 * Mail addresses keep the form of the part before the sign; a domain has one surrogate domain.
+  Domains and surnames are values of their own: addresses and full names are built of their surrogates.
 * Names keep their title; given names come from a list of the title's gender and the name's
   script, surnames are built from syllables of the script.  A surname alone and the same surname
   after a given name have the same surrogate.
@@ -143,13 +144,25 @@ def by_script(script_: Column, make) -> Column:
     return F.when(script_ == "cyrillic", make("cyrillic")).otherwise(make("latin"))
 
 
-def surname(hexes: Column, script_: Column) -> Column:
-    """Three syllables; the number of surnames grows with the syllables' third power."""
-    return by_script(script_, lambda s: F.initcap(F.concat(*[chosen(SYLLABLES[s], number(hexes, i, len(SYLLABLES[s]))) for i in range(3)])))
+def surname(hexes: Column, script_: Column, attempt: Column) -> Column:
+    """Three syllables, and one more for each attempt before, so that there are enough for any number of surnames."""
+    size = F.lit(3) + F.least(attempt, F.lit(9))
 
+    def make(s: str) -> Column:
+        syllables = F.array(*[chosen(SYLLABLES[s], number(hexes, i, len(SYLLABLES[s]))) for i in range(12)])
+        return F.initcap(F.array_join(F.slice(syllables, 1, size), ""))
 
-def drawn(key: str, type_: Column, value: Column, gender: Column, attempt: Column) -> Column:
-    """The surrogate of a value, in the form of the value."""
+    return by_script(script_, make)
+
+
+def longer(hexes: Column, attempt: Column) -> Column:
+    """Letters that follow a short form once its own length gives no new values."""
+    letters = F.array(*[chosen(list("abcdefghijklmnopqrstuvwxyz"), number(hexes, 12 + i, 26)) for i in range(12)])
+    return F.array_join(F.slice(letters, 1, F.floor(F.least(attempt, F.lit(48)) / 4).cast("int")), "")
+
+
+def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column, attempt: Column) -> Column:
+    """The surrogate of a value, in the form of the value; ``part`` is that of its domain or surname."""
     hexes = digest(key, type_, value, attempt.cast("string"))
     # Nine digits of a phone, or the last seven, leave the country code; a card keeps its issuer's digit.
     kept = (
@@ -158,13 +171,10 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, attempt: Colum
     )
     plain = same_form(value, hexes, kept)
     local = F.substring_index(value, "@", 1)
-    domain = F.substring_index(value, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    mail = F.concat(
-        same_form(local, hexes, F.lit(0)), F.lit("@"),
-        same_form(host, digest(key, F.lit("domain"), domain), F.lit(0)), F.lit("."), top,
-    )
+    mail = F.concat(same_form(local, hexes, F.lit(0)), longer(hexes, attempt), F.lit("@"), part)
+    top = F.substring_index(value, ".", -1)
+    host = F.substring(value, F.lit(1), F.length(value) - F.length(top) - 1)
+    domain = F.concat(same_form(host, hexes, F.lit(0)), longer(hexes, attempt), F.lit("."), top)
     octets = F.split(value, r"\.")
     first = F.get(octets, F.lit(0)).cast("int")
     private = value.rlike(r"^(?:10\.|192\.168\.|127\.)")
@@ -182,27 +192,37 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, attempt: Colum
         .when(gender == "f", chosen(GIVEN["f", s], number(hexes, 5, len(GIVEN["f", s]))))
         .otherwise(chosen(GIVEN["n", s], number(hexes, 5, len(GIVEN["n", s])))),
     )
-    family = surname(digest(key, F.lit("surname"), F.element_at(words, -1)), script_)
     # A given name that was drawn already gets a second one; surnames must stay the same.
-    second = surname(hexes, script_)
-    person = F.when(F.size(words) > 1, F.concat_ws(" ", F.when(attempt == 0, given).otherwise(F.concat(given, F.lit("-"), second)), family)).otherwise(
-        F.when(attempt == 0, family).otherwise(F.concat(family, F.lit("-"), second))
-    )
+    family = surname(hexes, script_, attempt)
+    first = F.when(attempt == 0, given).otherwise(F.concat(given, F.lit("-"), family))
+    person = F.when(F.size(words) > 1, F.concat_ws(" ", first, part)).otherwise(part)
     secret = F.when(value.rlike(r"^[0-9a-f]+$"), same_form(value, hexes, F.lit(0), hexadecimal=True)).otherwise(plain)
     return (
-        F.when(type_ == "email", mail).when(type_ == "ip", ip).when(type_ == "person", person)
+        F.when(type_ == "email", mail).when(type_ == "domain", domain).when(type_ == "ip", ip)
+        .when(type_ == "person", person).when(type_ == "surname", family)
         .when(type_.isin("phone", "card", "ssn", "iban", "key"), plain).otherwise(secret)
     )
 
 
+def with_parts(values: DataFrame, key: str) -> DataFrame:
+    """``values`` with ``part``, the surrogate of an address's domain or a name's surname."""
+    of = F.when(F.col("type") == "email", "domain").when(F.col("type") == "person", "surname")
+    name = F.when(F.col("type") == "email", F.substring_index("value", "@", -1)).otherwise(F.substring_index("value", " ", -1))
+    named = values.select("type", "value", "gender", of.alias("part_type"), F.when(of.isNotNull(), name).alias("name"))
+    parts = named.where("name is not null").select(F.col("part_type").alias("type"), F.col("name").alias("value")).distinct()
+    found = assigned(parts.select("type", "value", F.lit("n").alias("gender"), F.lit("").alias("part")), key)
+    surrogates = found.select(F.col("type").alias("part_type"), F.col("value").alias("name"), F.col("surrogate").alias("part"))
+    return named.join(surrogates, ["part_type", "name"], "left").select("type", "value", "gender", "part")
+
+
 def assigned(values: DataFrame, key: str) -> DataFrame:
     """(type, value, surrogate): one surrogate per value, none twice, none that is a value itself."""
-    open_ = values.select("type", "value", "gender")
+    open_ = values.select("type", "value", "gender", "part")
     taken = values.select("type", F.lower("value").alias("mark"))
     done = None
     for attempt in range(ROUNDS):
         drawn_ = stored(
-            open_.withColumn("surrogate", drawn(key, F.col("type"), F.col("value"), F.col("gender"), F.lit(attempt)))
+            open_.withColumn("surrogate", drawn(key, F.col("type"), F.col("value"), F.col("gender"), F.col("part"), F.lit(attempt)))
             .withColumn("mark", F.lower("surrogate")),
             "drawn",
         )
@@ -210,7 +230,7 @@ def assigned(values: DataFrame, key: str) -> DataFrame:
         winners = drawn_.groupBy("type", "mark").agg(F.min("value").alias("value")).join(taken, ["type", "mark"], "left_anti")
         settled = stored(drawn_.join(winners, ["type", "mark", "value"], "left_semi"), "settled")
         done = settled if done is None else done.union(settled)
-        open_ = stored(drawn_.join(settled, ["type", "value"], "left_anti").select("type", "value", "gender"), "open")
+        open_ = stored(drawn_.join(settled, ["type", "value"], "left_anti").select("type", "value", "gender", "part"), "open")
         if open_.isEmpty():
             return done.select("type", "value", "surrogate")
         taken = taken.union(settled.select("type", "mark"))
@@ -245,8 +265,9 @@ def replacements(texts: DataFrame, key: str) -> DataFrame:
     found = stored(found.groupBy("k1", "k2", "pos").agg(F.min("raw").alias("raw")), "entities")
     forms = found.select("raw").distinct().withColumn("type", kind(F.col("raw"))).withColumn("value", value_of(F.col("type"), F.col("raw")))
     forms = stored(forms.withColumn("gender", gender_of(F.col("raw"))), "forms")
-    values = forms.groupBy("type", "value").agg(F.min("gender").alias("gender"))
-    ready = forms.join(assigned(values, key), ["type", "value"]).select(
+    values = stored(forms.groupBy("type", "value").agg(F.min("gender").alias("gender")), "values")
+    whole = stored(with_parts(values, key), "values")
+    ready = forms.join(assigned(whole, key), ["type", "value"]).select(
         "raw", written(F.col("raw"), F.col("type"), F.col("surrogate")).alias("replacement")
     )
     return (

@@ -104,6 +104,21 @@ def test_surrogates_are_distinct_and_new(session):
     assert len(set(new)) == len(values) and not set(new) & set(values)
 
 
+def test_surnames_and_mail_hosts_are_distinct_wherever_they_stand(session):
+    syllables = surrogates.SYLLABLES["latin"]
+    names = [f"{a}{b}{c}".capitalize() for a in syllables[:20] for b in syllables[:20] for c in syllables[:7]]  # forms of surrogates
+    hosts = [f"{a}{b}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    rows = [(i, f"Mr {n}") for i, n in enumerate(names)] + [(10_000 + i, f"Mr John {n}") for i, n in enumerate(names)]
+    rows += [(20_000 + i, f"me@{h}.org") for i, h in enumerate(hosts)]
+    found = {r.doc_id: r.text for r in surrogates.with_surrogates(session.createDataFrame(rows, "doc_id long, text string")).collect()}
+    lone = [found[i].removeprefix("Mr ") for i in range(len(names))]
+    full = [found[10_000 + i].removeprefix("Mr ").split(" ") for i in range(len(names))]
+    assert len(set(lone)) == len(names) and not set(lone) & set(names) and [f[-1] for f in full] == lone
+    assert all(len(f) == 2 for f in full) and not any("-" in n for n in lone)
+    new = [found[20_000 + i].split("@")[1].removesuffix(".org") for i in range(len(hosts))]
+    assert len(set(new)) == len(hosts) and not set(new) & set(hosts)
+
+
 # --- searches -----------------------------------------------------------------------
 
 
