@@ -5,7 +5,7 @@ from a keyed hash of type and value, wherever and however it is written.  So a p
 or address that occurs again, in the same text or another, has the same surrogate.
 
 * Numbers keep their punctuation and length, phones their country code, cards their first
-  digit, IBANs their country, private IPv4 addresses their network.
+  digit, IBANs their country, private IPv4 addresses their network, IPv6 addresses their first group.
 * Letters stay letters of their case, hexadecimal digits hexadecimal digits.
 * Mail addresses keep the form of the part before the sign; a domain has one surrogate domain.
   Domains and surnames are values of their own: addresses and full names are built of their surrogates.
@@ -53,16 +53,29 @@ _LETTERS = r"[\p{L}\p{N}._%+\-]"
 _NAME = r"\p{Lu}[\p{L}'’\-]+"
 _TITLE = "|".join(t for titles in TITLES.values() for t in sorted(titles, key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Eight groups, or fewer round a double colon, the first then of three or four digits and some digit decimal.
+_IP6 = rf"(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]*\d)[0-9A-Fa-f]{{3,4}}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)"
+#: National numbers: three, three and four digits, or a leading zero and nine to fourteen digits in groups.
+_NATIONAL = (
+    r"(?:(?:1[ .\-])?[2-9]\d{2}(?:-\d{3}-\d{4}|\.\d{3}\.\d{4}| \d{3}[ \-]\d{4})"
+    r"|(?=\d(?:[ /\-]?\d){8,13}(?![ /\-]?\d))(?:0\d{2,4}[/\-]\d{3,8}(?:[ \-]\d{2,5}){0,2}|0\d{1,4}(?: \d{2,8}){1,4}))"
+)
+_CARD = r"(?:(?:\d{4}[ \-]?){3}\d{4}|3[47]\d{2}[ \-]?\d{6}[ \-]?\d{5})"
+_KEYWORD = r"(?i:passwords?|passwd|pwd|secret|token|api[_ \-]?key)"
 #: Types in the order in which they claim a place; a pattern matches a whole entity.
 PATTERNS = {
     "email": rf"(?<!{_LETTERS}){_LETTERS}++@[\p{{L}}\p{{N}}\-]++(?:\.[\p{{L}}\p{{N}}\-]++)+",
-    "phone": r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
+    "phone": r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
+    rf"|(?<![\p{{L}}\d.,+\-]){_NATIONAL}(?![\p{{L}}\d]|[.\-]\d)",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "card": r"(?<![\p{L}\d])(?:\d{4}[ \-]?){3}\d{4}(?![\p{L}\d])",
+    "ip6": rf"(?<![\p{{L}}\d:.]){_IP6}(?![\p{{L}}\d:])",
+    "card": rf"(?<![\p{{L}}\d]){_CARD}(?![\p{{L}}\d])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "iban": r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
     "key": r"(?<![\p{L}\d])AKIA[0-9A-Z]{16}(?![\p{L}\d])",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key)[=:] ?[\"']?)[^\s\"']{8,}+|(?<=(?:password|passwd|secret|token|api_key) [=:] ?[\"']?)[^\s\"']{8,}+|(?<![\p{L}\d])(?=[a-f]{0,64}\d)[0-9a-f]{32,64}(?![\p{L}\d])",
+    "secret": rf"(?<={_KEYWORD}[\"']? ?[=:] ?[\"']?)[^\s\"']{{8,}}+"
+    r"|(?<![\p{L}\d])(?=[a-f]{0,64}\d)[0-9a-f]{32,64}(?![\p{L}\d])",
     "person": rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -75,8 +88,7 @@ def any_of(conditions: list[Column]) -> Column:
 
 def may_hold(text: Column) -> Column:
     """A quick test that no text with an entity fails."""
-    named = any_of([text.contains(w) for w in ("password", "passwd", "secret", "token", "api_key")])
-    return text.rlike("[0-9@]") | named | any_of([text.contains(f"{t} ") | text.contains(f"{t}. ") for ts in TITLES.values() for t in ts])
+    return text.rlike("[0-9@]") | text.rlike(_KEYWORD) | any_of([text.contains(f"{t} ") | text.contains(f"{t}. ") for ts in TITLES.values() for t in ts])
 
 
 def kind(raw: Column) -> Column:
@@ -85,8 +97,10 @@ def kind(raw: Column) -> Column:
         F.when(raw.rlike(rf"^{_LETTERS}++@"), "email")
         .when(raw.rlike(r"^(?:\+\d|\(\d)[\d ().\-]+$"), "phone")
         .when(raw.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip")
-        .when(raw.rlike(r"^(?:\d{4}[ \-]?){3}\d{4}$"), "card")
+        .when(raw.rlike(rf"^{_IP6}$"), "ip6")
+        .when(raw.rlike(rf"^{_CARD}$"), "card")
         .when(raw.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+        .when(raw.rlike(rf"^{_NATIONAL}$"), "phone")
         .when(raw.rlike(r"^AKIA[0-9A-Z]{16}$"), "key")
         .when(raw.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$"), "iban")
         .when(raw.rlike(rf"^(?:{_TITLE})\.? {_NAME}"), "person")
@@ -131,7 +145,12 @@ def value_of(type_: Column, raw: Column) -> Column:
     """What an entity stands for, however it is written."""
     compact = F.regexp_replace(raw, r"[^\p{L}\p{N}]", "")
     name = F.lower(F.regexp_replace(raw, rf"^(?:{_TITLE})\.? ", ""))
-    return F.when(type_ == "email", F.lower(raw)).when(type_.isin("phone", "card", "ssn", "iban"), compact).when(
+    # Eight groups of four digits, whichever zeros are left out.
+    sides = F.split(F.lower(raw), "::")
+    left, right = (F.filter(F.split(F.coalesce(F.get(sides, F.lit(i)), F.lit("")), ":"), lambda g: g != "") for i in (0, 1))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
+    groups = F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
+    return F.when(type_ == "email", F.lower(raw)).when(type_ == "ip6", groups).when(type_.isin("phone", "card", "ssn", "iban"), compact).when(
         type_ == "person", name
     ).otherwise(raw)
 
@@ -166,7 +185,7 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column,
     hexes = digest(key, type_, value, attempt.cast("string"))
     # Nine digits of a phone, or the last seven, leave the country code; a card keeps its issuer's digit.
     kept = (
-        F.when(type_ == "phone", F.greatest(F.length(value) - 9, F.lit(0))).when(type_ == "card", F.lit(1))
+        F.when(type_ == "phone", F.greatest(F.length(value) - 9, value.startswith("0").cast("int"))).when(type_ == "card", F.lit(1))
         .when(type_ == "iban", F.lit(2)).when(type_ == "key", F.lit(4)).otherwise(F.lit(0))
     )
     plain = same_form(value, hexes, kept)
@@ -199,6 +218,7 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column,
     secret = F.when(value.rlike(r"^[0-9a-f]+$"), same_form(value, hexes, F.lit(0), hexadecimal=True)).otherwise(plain)
     return (
         F.when(type_ == "email", mail).when(type_ == "domain", domain).when(type_ == "ip", ip)
+        .when(type_ == "ip6", same_form(value, hexes, F.lit(4), hexadecimal=True))
         .when(type_ == "person", person).when(type_ == "surname", family)
         .when(type_.isin("phone", "card", "ssn", "iban", "key"), plain).otherwise(secret)
     )

@@ -104,6 +104,30 @@ def test_surrogates_are_distinct_and_new(session):
     assert len(set(new)) == len(values) and not set(new) & set(values)
 
 
+def test_personal_data_in_other_forms(session):
+    held = [
+        "555-123-4567", "1-555-123-4567", "555.123.4567", "555 123 4567", "030 1234567", "089/1234567", "01 23 45 67 89", "020 7946 0958",
+        "2001:db8::8a2e:370:7334", "2001:0db8:0000:0000:0000:8a2e:0370:7334", "fe80::1", "371449635398431", "3714 496353 98431",
+    ]
+    secrets = ["PASSWORD=Sommerregen", "Password: Sommerregen", "API_KEY=Sommerregen", 'Token = "Sommerregen"', '"password": "Sommerregen"']
+    clean = [
+        "on 01-02-2024 or 01.02.2024, 01/02/2024 and 2024-01-02", "at 12:30:45 std::vector Add::bad", "1.5.3 and 10 20 30, 1,555,123", "ISBN 0-306-40615-2",
+        "the PASSWORD is lost", "order 12345678901234567890", "Tokens: a, b", "05:12:44::x", "100 200 300 400",
+    ]
+    texts = [*[f"so {x}, then" for x in held], *secrets, *clean]
+    found = {r.doc_id: r for r in surrogates.with_surrogates(session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, x in enumerate(held):
+        assert x not in found[i].text and found[i].n_entities == 1, (x, found[i].text)
+        if ":" not in x:
+            assert re.sub(r"\d", "0", found[i].text) == re.sub(r"\d", "0", texts[i])
+    assert found[8].text == found[9].text and found[8].text.startswith("so 2001:")
+    assert re.sub(r"\D", "", found[11].text) == re.sub(r"\D", "", found[12].text)
+    for i, x in enumerate(secrets, len(held)):
+        assert "Sommerregen" not in found[i].text and found[i].n_entities == 1, found[i].text
+    for i, x in enumerate(clean, len(held) + len(secrets)):
+        assert found[i].text == x, (x, found[i].text)
+
+
 def test_surnames_and_mail_hosts_are_distinct_wherever_they_stand(session):
     syllables = surrogates.SYLLABLES["latin"]
     names = [f"{a}{b}{c}".capitalize() for a in syllables[:20] for b in syllables[:20] for c in syllables[:7]]  # forms of surrogates
