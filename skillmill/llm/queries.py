@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillmill.llm import (
-    ann_partitions, bin_slack, edit_tokens, line_windows, ngram_join, sp_bpe, surrogates, toxicity, va_search, zstd_quality,
+    ann_partitions, bin_slack, edit_tokens, line_windows, ngram_join, sp_bpe, sp_chunks, surrogates, toxicity, va_search, zstd_quality,
 )
 from skillmill.llm.common import ship, table
 from skillmill.llm.labelled import fold
@@ -88,6 +88,10 @@ def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op11_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(ship(spark), sf_dir)
@@ -100,7 +104,7 @@ QUERIES = {
     q.__name__: shipped(q)
     for q in (
         op1_surrogates, op2_learned_partitions, op3_zstd_quality, op4_edit_counts, op5_line_windows,
-        op6_va_file, op7_sentencepiece_bpe, op8_count_vector_rtree, op9_bin_slack, op10_clause_grammar,
+        op6_va_file, op7_sentencepiece_bpe, op8_count_vector_rtree, op9_bin_slack, op10_clause_grammar, op11_distinct_chunks,
     )
 }
 
