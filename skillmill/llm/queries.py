@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillmill.llm import (
-    ann_partitions, bin_slack, edit_tokens, line_windows, ngram_join, sp_bpe, sp_chunks, surrogates, toxicity, va_search, zstd_quality,
+    ann_partitions, bin_slack, edit_tokens, line_windows, ngram_join, sp_bpe, sp_chunks, surrogates, target_resampling, toxicity,
+    va_search, zstd_quality,
 )
 from skillmill.llm.common import ship, table
 from skillmill.llm.labelled import fold
@@ -92,6 +93,10 @@ def op11_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_radix_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(ship(spark), sf_dir)
@@ -105,6 +110,7 @@ QUERIES = {
     for q in (
         op1_surrogates, op2_learned_partitions, op3_zstd_quality, op4_edit_counts, op5_line_windows,
         op6_va_file, op7_sentencepiece_bpe, op8_count_vector_rtree, op9_bin_slack, op10_clause_grammar, op11_distinct_chunks,
+        op13_radix_resampling,
     )
 }
 
@@ -149,4 +155,54 @@ SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op13_radix_resampling": r"""
+        WITH bytes AS (
+            SELECT list_transform(range(0, 256), lambda b: list_reduce(
+                range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b::BIGINT)) AS tab
+        ),
+        cut AS (
+            SELECT row_number() OVER () AS r, doc_id, TRUE AS own, text FROM documents
+            UNION ALL SELECT -row_number() OVER (), NULL, FALSE, text FROM benchmark
+        ),
+        spoken AS (
+            SELECT r, doc_id, own, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM cut
+        ),
+        found AS (
+            SELECT r, own, unnest(w) AS feature FROM spoken
+            UNION ALL SELECT r, own, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM spoken
+        ),
+        named AS (SELECT DISTINCT feature FROM found),
+        hashed AS (
+            SELECT feature, xor(list_reduce(
+                list_transform(range(1, strlen(feature) + 1), lambda i: ('0x' || substr(hex(encode(feature)), 2 * i - 1, 2))::BIGINT),
+                lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+            FROM named, bytes
+        ),
+        placed AS (SELECT r, own, bucket FROM found JOIN hashed USING (feature)),
+        counted AS (
+            SELECT bucket, count(*) FILTER (WHERE own) AS s, count(*) FILTER (WHERE NOT own) AS t FROM placed GROUP BY bucket
+        ),
+        gained AS (
+            SELECT bucket, floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000))::DOUBLE / ((s + 1) * (sum(t) OVER () + 10000))::DOUBLE))::BIGINT AS gain
+            FROM counted
+        ),
+        weighed AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS total FROM placed JOIN gained USING (bucket) WHERE own GROUP BY r),
+        scored AS (
+            SELECT p.r, p.doc_id, len(p.w) AS n_words, coalesce(n, 0) AS n_features,
+                   coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+                   floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || p.doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS luck
+            FROM spoken p LEFT JOIN weighed g ON p.r = g.r WHERE p.own
+        ),
+        ranked AS (
+            SELECT *, weight + luck AS score, n_words >= 20 AND doc_id IS NOT NULL AS fit,
+                   row_number() OVER (PARTITION BY n_words >= 20 AND doc_id IS NOT NULL ORDER BY weight + luck DESC, doc_id, n_features, weight) AS place,
+                   count(*) FILTER (WHERE n_words >= 20 AND doc_id IS NOT NULL) OVER () AS fitting
+            FROM scored
+        )
+        SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+               CASE WHEN fit AND place <= 25 * fitting // 100 THEN place END AS rank
+        FROM ranked
+    """,
 }
