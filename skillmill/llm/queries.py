@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillmill.llm import (
-    ann_partitions, bin_slack, edit_tokens, line_windows, ngram_join, sp_bpe, sp_chunks, surrogates, target_resampling, toxicity,
-    va_search, zstd_quality,
+    ann_partitions, bin_slack, conversation_repair, edit_tokens, line_windows, ngram_join, sp_bpe, sp_chunks, surrogates, target_resampling,
+    toxicity, va_search, zstd_quality,
 )
 from skillmill.llm.common import ship, table
 from skillmill.llm.labelled import fold
@@ -93,6 +93,10 @@ def op11_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_radix_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -110,7 +114,7 @@ QUERIES = {
     for q in (
         op1_surrogates, op2_learned_partitions, op3_zstd_quality, op4_edit_counts, op5_line_windows,
         op6_va_file, op7_sentencepiece_bpe, op8_count_vector_rtree, op9_bin_slack, op10_clause_grammar, op11_distinct_chunks,
-        op13_radix_resampling,
+        op12_prefix_doubling, op13_radix_resampling,
     )
 }
 
@@ -155,6 +159,80 @@ SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_prefix_doubling": """
+        WITH RECURSIVE bytes AS (
+            SELECT list_transform(range(0, 256), lambda b: list_reduce(
+                range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b::BIGINT)) AS tab
+        ),
+        said AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+            FROM conversations
+        ),
+        drawn AS (
+            SELECT s.*, xor(list_reduce(
+                list_transform(range(1, length(name) + 1), lambda i: ord(name[i])::BIGINT),
+                lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS lot
+            FROM said s, bytes
+        ),
+        harmed AS (
+            SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+                   CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM drawn, (SELECT unnest([1, 2]) AS copy) WHERE lot <> 0 AND (copy = 1 OR lot = 3)
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen
+            FROM harmed
+        ),
+        marked AS (
+            SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier,
+                   CASE WHEN seen = '' THEN 'blank'
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                        WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM placed
+        ),
+        summed AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                   count(*) FILTER (WHERE earlier IS NOT NULL AND earlier || c NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM marked GROUP BY conv_id
+        ),
+        ways AS (
+            SELECT conv_id, n AS i, [
+                {'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}, {'cost': 10, 'audit': 'II', 'lines': ['user:', 'assistant:']},
+                {'cost': 5, 'audit': 'I', 'lines': ['assistant:']}, {'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}] AS v
+            FROM summed
+            UNION ALL
+            SELECT conv_id, i - 1, list_transform([1, 2, 3, 4], lambda s: list_sort([
+                base[s],
+                {'cost': 5 + base[CASE s WHEN 3 THEN 4 ELSE 3 END].cost, 'audit': 'I' || base[CASE s WHEN 3 THEN 4 ELSE 3 END].audit,
+                 'lines': list_prepend(CASE s WHEN 3 THEN 'assistant:' ELSE 'user:' END, base[CASE s WHEN 3 THEN 4 ELSE 3 END].lines)},
+                {'cost': 10 + base[CASE s WHEN 3 THEN 3 ELSE 4 END].cost, 'audit': 'II' || base[CASE s WHEN 3 THEN 3 ELSE 4 END].audit,
+                 'lines': list_concat(CASE s WHEN 3 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END, base[CASE s WHEN 3 THEN 3 ELSE 4 END].lines)}
+            ])[1])
+            FROM (
+                SELECT w.conv_id, w.i, list_transform([1, 2, 3, 4], lambda s: list_sort(list_filter([
+                    {'cost': 2 + v[s].cost, 'audit': 'D' || v[s].audit, 'lines': v[s].lines},
+                    CASE WHEN fault IN ('', 'truncated') THEN
+                        {'cost': 1 + extra + v[CASE s WHEN 3 THEN 4 ELSE 3 END].cost, 'audit': 'R' || v[CASE s WHEN 3 THEN 4 ELSE 3 END].audit,
+                         'lines': list_prepend(CASE s WHEN 3 THEN 'assistant:' ELSE 'user:' END || text, v[CASE s WHEN 3 THEN 4 ELSE 3 END].lines)} END,
+                    CASE WHEN fault IN ('', 'truncated') AND ((c = 's' AND s = 1) OR (c = 'u' AND s <> 3) OR (c = 'a' AND s = 3)) THEN
+                        {'cost': extra + v[CASE c WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].cost, 'audit': 'K' || v[CASE c WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].audit,
+                         'lines': list_prepend(role || ':' || text, v[CASE c WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].lines)} END
+                ], lambda x: x IS NOT NULL))[1]) AS base
+                FROM ways w JOIN (SELECT *, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM marked) m
+                  ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND w.i = m.i
+            )
+        ),
+        best AS (SELECT conv_id, v[1] AS x FROM ways WHERE i = 0)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(x.cost, 0)::BIGINT AS cost,
+               coalesce(x.audit, '') AS audit, sha256(coalesce(array_to_string(x.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN summed s ON o.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+    """,
     "op13_radix_resampling": r"""
         WITH bytes AS (
             SELECT list_transform(range(0, 256), lambda b: list_reduce(
