@@ -18,7 +18,7 @@ from skillmill import model
 from skillmill.operators.quality import check_tables
 from skillmill.plans import kpi, profile, tables, transform
 from skillmill.session import get_spark
-from skillmill.sources.reports import extract
+from skillmill.sources.reports import extract, malformed_records
 from skillmill.sources.snapshots import DELIVERED_REPORTS, OTHER_REPORTS
 from skillmill.sources.warehouse import Warehouse
 
@@ -30,7 +30,7 @@ PARALLEL_TABLES = 4
 
 PROFILE = "cv_search_profile_mv"
 FIGURES = "kpi"
-_REJECT_SCHEMA = "table_name string, problem string, row string"
+_REJECT_SCHEMA = "table_name string, problem string, row string, file string, block long, record long"
 _SKIPPED_SCHEMA = "table_name string, parent string, rows long"
 
 
@@ -82,19 +82,30 @@ def load(
     skipped: list[DataFrame] = []
     naming: dict[str, DataFrame] = {}
 
-    def store(table: model.Table, rows: DataFrame, parents: DataFrame | None) -> None:
+    def store(
+        table: model.Table, rows: DataFrame, parents: DataFrame | None, scan: DataFrame | None = None
+    ) -> None:
         # Typed rows are written once: the reports are parsed a single time, and
         # the table, its rejects and an upsert that reads the batch twice share them.
         typed = warehouse.stage(run, f"rows/{table.name}", rows)
         built = tables.build(table, typed, parents, before.get(table.name))
         done[table.name] = warehouse.stage(run, table.name, built)
-        rejected.append(tables.rejects(table, typed, parents))
+        bad = tables.rejects(table, typed, parents)
+        if scan is not None:
+            # Only records that could be read got as far as finding their person.
+            bad = bad.unionByName(malformed_records(scan, table.name))
+        elif table is not model.CVS:  # users and CVs come from the same report
+            bad = bad.unionByName(tables.malformed(table, typed))
+        rejected.append(tables.placed(bad, typed if scan is None else scan))
         if parents is not None:
             skipped.append(tables.skipped(table, typed, parents))
         if table.dimensions:
             naming[table.name] = tables.named(table, typed, parents)
 
     usage = reports.get(transform.USAGE_REPORT)
+    if usage is not None:
+        usage = warehouse.stage(run, "raw/usage", usage)
+        rejected.append(tables.placed(malformed_records(usage, "usage_report"), usage))
     store(model.USERS, transform.user_rows(user_report, usage, **options), None)
     users = done["users"]
     store(model.CVS, transform.cv_rows(user_report, **options), users)
@@ -116,7 +127,7 @@ def load(
         elif table in people_reports:
             # Finding the person reads the rows twice, so the report is parsed first.
             raw = warehouse.stage(run, f"raw/{table.name}", report)
-            store(table, people_reports[table](raw), None)
+            store(table, people_reports[table](raw), None, raw)
             skipped.append(transform.unresolved_people(raw, users, table))
         else:
             store(table, transform.typed_rows(report, table, **options), cvs)

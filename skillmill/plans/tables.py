@@ -12,7 +12,7 @@ from skillmill.model import Table
 from skillmill.operators.lookup import known_only, surrogate_id, unmatched_counts
 from skillmill.operators.upsert import new_members, upsert
 from skillmill.plans.transform import REJECT
-from skillmill.sources.reports import FILE_ORDER
+from skillmill.sources.reports import FILE_ORDER, MALFORMED
 
 
 def _parent_key(table: Table) -> str:
@@ -48,7 +48,7 @@ def build(
     first-writer columns must not see rows of unknown parents at all; for the
     others the rows are reduced to one per key first, so fewer meet the join.
     """
-    good = _storable(table, rows.filter(F.col(REJECT).isNull()).drop(REJECT))
+    good = _storable(table, rows.filter(F.col(REJECT).isNull()).drop(REJECT, MALFORMED))
     if existing is not None:
         existing = existing.select(*[f.name for f in table.fields])
     early = bool(table.first_writer)
@@ -60,22 +60,55 @@ def build(
     return with_ids(table, result)
 
 
-def rejects(table: Table, rows: DataFrame, parents: DataFrame | None = None) -> DataFrame:
-    """(table_name, problem, row) for rows of known parents that cannot be stored."""
-    bad = _storable(table, rows).filter(F.col(REJECT).isNotNull())
+def rejects(
+    table: Table, rows: DataFrame, parents: DataFrame | None = None, order: Sequence[str] = FILE_ORDER
+) -> DataFrame:
+    """(table_name, problem, row) and the row order for rows of known parents that cannot be stored.
+
+    Malformed records are not among them: :func:`malformed` tells of those, whatever their parent cell holds.
+    """
+    bad = _storable(table, rows).filter(F.col(REJECT).isNotNull() & F.col(MALFORMED).isNull())
     if parents is not None:
         bad = known_only(bad, parents, _parent_key(table))
     return bad.select(
         F.lit(table.name).alias("table_name"),
         F.col(REJECT).alias("problem"),
         F.to_json(F.struct(*[f.name for f in table.fields])).alias("row"),
+        *order,
+    )
+
+
+def malformed(table: Table, rows: DataFrame) -> DataFrame:
+    """(table_name, problem, row) and the file order of the malformed records among typed rows.
+
+    ``row`` is the text of the record, or its cells where the text is not known.
+    """
+    bad = rows.filter(F.col(MALFORMED).isNotNull())
+    cells = F.to_json(F.struct(*[f.name for f in table.fields]))
+    return bad.select(
+        F.lit(table.name).alias("table_name"),
+        F.col(f"{MALFORMED}.problem").alias("problem"),
+        F.coalesce(F.col(f"{MALFORMED}.record"), cells).alias("row"),
+        *FILE_ORDER,
+    )
+
+
+def placed(rejected: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rejects with the number of their record in its file block, counted from 1, in place of the row order.
+
+    ``rows`` are all rows of the scan that the rejects come from.
+    """
+    first = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"))
+    return rejected.join(first, ["_file", "_block"]).select(
+        "table_name", "problem", "row", F.col("_file").alias("file"), F.col("_block").alias("block"),
+        (F.col("_row") - F.col("_first") + 1).alias("record"),
     )
 
 
 def skipped(table: Table, rows: DataFrame, parents: DataFrame) -> DataFrame:
     """(table_name, parent, rows) for parents that are missing."""
     key = _parent_key(table)
-    return unmatched_counts(rows, parents, key).select(
+    return unmatched_counts(rows.filter(F.col(MALFORMED).isNull()), parents, key).select(
         F.lit(table.name).alias("table_name"), F.col(key).alias("parent"), "rows"
     )
 

@@ -13,7 +13,7 @@ from skillmill.functions import dates, numbers, text
 from skillmill.model import Field, Table
 from skillmill.operators.lookup import lookup, resolve_identity
 from skillmill.operators.upsert import latest_per_key
-from skillmill.sources.reports import FILE_ORDER
+from skillmill.sources.reports import FILE_ORDER, MALFORMED, MALFORMED_TYPE
 
 USER_REPORT = "user_report.csv"
 USAGE_REPORT = "usage_report.csv"
@@ -67,7 +67,7 @@ def typed_rows(
     this_year: int = dates.THIS_YEAR,
     given: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Target columns of ``table`` from a raw report, with the reject list and the row order.
+    """Target columns of ``table`` from a raw report, with the reject list, what is malformed and the row order.
 
     A field without a column in the report gets its empty value.  ``given``
     replaces the conversion of single fields.  The parent key is not checked
@@ -93,9 +93,16 @@ def typed_rows(
     # A filter on the reject list must not be pushed below the conversions: that
     # would run all of them twice.  The optimizer keeps filters above a projection
     # with a column such as the partition id, so the reject list depends on it.
-    converted = df.select(*values, *present, F.spark_partition_id().alias("_part"), *order)
-    rejected = F.when(F.col("_part") >= 0, F.nullif(reject, F.lit(""))).alias(REJECT)
-    return converted.select(*[f.name for f in table.fields], rejected, *order)
+    malformed = F.col(MALFORMED) if MALFORMED in df.columns else F.lit(None).cast(MALFORMED_TYPE)
+    converted = df.select(*values, *present, malformed.alias(MALFORMED), F.spark_partition_id().alias("_part"), *order)
+    problem = F.coalesce(F.col(f"{MALFORMED}.problem"), F.nullif(reject, F.lit("")))
+    rejected = F.when(F.col("_part") >= 0, problem).alias(REJECT)
+    return converted.select(*[f.name for f in table.fields], rejected, MALFORMED, *order)
+
+
+def well_formed(report: DataFrame) -> DataFrame:
+    """The records of a report that could be read as its header says."""
+    return report.filter(F.col(MALFORMED).isNull()) if MALFORMED in report.columns else report
 
 
 def require_users(reports: Mapping[str, DataFrame]) -> DataFrame:
@@ -117,7 +124,7 @@ def with_nationality(
     if usage is None or NATIONALITY not in usage.columns or user_id not in usage.columns:
         return users.withColumn(name, text.empty_map())
     last = latest_per_key(
-        usage.filter(F.col(f"`{user_id}`").isNotNull()).select(user_id, NATIONALITY, *order),
+        well_formed(usage).filter(F.col(f"`{user_id}`").isNotNull()).select(user_id, NATIONALITY, *order),
         [user_id],
         order,
     )
@@ -145,7 +152,7 @@ def _resolved(df: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def _with_identity(df: DataFrame) -> DataFrame:
-    named = df
+    named = well_formed(df)
     for field in model.IDENTITY_FIELDS:
         cell = column(df, field.headers)
         named = named.withColumn(

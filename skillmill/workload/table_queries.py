@@ -594,7 +594,7 @@ def section_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
     )
     rows = transform.typed_rows(report, model.POSITION, ["o_orderkey"])
-    bad = tables.rejects(model.POSITION, rows, _labelled(spark, sf_dir))
+    bad = tables.rejects(model.POSITION, rows, _labelled(spark, sf_dir), ["o_orderkey"])
     return bad.groupBy("table_name", "problem").agg(F.count(F.lit(1)).alias("rows"))
 
 

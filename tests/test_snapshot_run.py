@@ -60,6 +60,7 @@ def test_single_person_snapshot(spark, tmp_path):
     for table in model.SECTIONS:
         if table.name != "certification":
             assert len(rows(spark, tmp_path / "out", table.name)) == 1, table.name
+    assert rows(spark, tmp_path / "out", "key_qualification")[0]["short_description"] == "Levelling"
     project = rows(spark, tmp_path / "out", "project_experience")[0]
     assert project["industry"] == "Transport"
     assert project["extent_hours"] == 96
@@ -180,6 +181,29 @@ def test_bad_rows_stop_the_run_or_are_set_aside(spark, tmp_path):
     assert problems == {"year_from", "cv_partner_section_id"}
 
 
+def test_malformed_records_are_rejected_with_their_place(spark, tmp_path):
+    bad = {
+        "positions.csv": "CV Partner CV ID,CV Partner section ID,Name\nc-77,p1,Good\nc-77,p2,Too,long\nnobody,p3,also,long\n",
+        "blogs.csv": 'CV Partner CV ID,CV Partner section ID,Name\nc-77,b1,Good\nc-77,b2,"open\nc-77,b3,lost\n',
+        "sc_clearance.csv": "Email,Clearance,Valid From\nmira@holt.example,SC,2023-01-01\nmira@holt.example,SC,2024-01-01,x\n",
+        "usage_report.csv": "CV Partner User ID,Nationality (#{lang})\n1,int:UK\n1,int:NO,x\n",
+    }
+    write_snapshot(tmp_path / "in", replace=bad)
+    with pytest.raises(LoadError, match="too many cells"):
+        run(spark, tmp_path / "in", tmp_path / "out")
+    run(spark, tmp_path / "in", tmp_path / "out", T2, on_violation="quarantine")
+    found = {(r["table_name"], r["problem"], r["file"].rsplit("/", 1)[1], r["record"]) for r in rows(spark, tmp_path / "out", "rejects")}
+    assert found == {
+        ("position", "too many cells", "positions.csv", 2), ("position", "too many cells", "positions.csv", 3),
+        ("blog_publication", "open quote", "blogs.csv", 2), ("user_clearance", "too many cells", "sc_clearance.csv", 2),
+        ("usage_report", "too many cells", "usage_report.csv", 2),
+    }
+    assert {r["row"] for r in rows(spark, tmp_path / "out", "rejects") if r["table_name"] == "position"} == {"c-77,p2,Too,long", "nobody,p3,also,long"}
+    assert [r["name"] for r in rows(spark, tmp_path / "out", "position")] == ["Good"]
+    assert rows(spark, tmp_path / "out", "users")[0]["nationality_multilang"] == {"int": "UK"}
+    assert {(r["table_name"], r["parent"]) for r in rows(spark, tmp_path / "out", "skipped")} == {("certification", "1")}
+
+
 def test_users_are_required(spark, tmp_path):
     write_snapshot(tmp_path / "none", leave_out=("user_report.csv",))
     with pytest.raises(ValueError, match="no rows"):
