@@ -46,7 +46,13 @@ class Table:
     fields: tuple[Field, ...]
     parent: str | None = None  # "users" or "cvs"
     first_writer: tuple[str, ...] = ()
-    retained: bool = False
+    # A table that carries over from version to version: the day in its key and the
+    # length of the period that one part of it covers.
+    period: tuple[str, str] | None = None
+
+    @property
+    def retained(self) -> bool:
+        return self.period is not None
 
     @property
     def dimensions(self) -> tuple[Field, ...]:
@@ -305,7 +311,7 @@ USER_CLEARANCE = Table(
         _f("notes", "Notes", kind="clean_text"),
     ),
     parent="users",
-    retained=True,
+    period=("valid_from", "year"),
 )
 
 USER_AVAILABILITY = Table(
@@ -320,7 +326,7 @@ USER_AVAILABILITY = Table(
         _f("updated_at", kind="timestamp", required=True),
     ),
     parent="users",
-    retained=True,
+    period=("date", "month"),
 )
 
 SECTIONS = (
@@ -346,10 +352,17 @@ DIMENSIONS = (
 )
 BY_NAME = {t.name: t for t in TABLES}
 
-# What stands in for a missing source, clearance and start date.
-DEFAULT_SOURCE = "Fake generator"
-DEFAULT_CLEARANCE = "None"
-DEFAULT_START = "1900-01-01"
+@dataclass(frozen=True)
+class Defaults:
+    """What stands in for a missing source, clearance and start date."""
+
+    # Fixed values.
+    source: str = "Fake generator"
+    clearance: str = "None"
+    start: str = "1900-01-01"
+
+
+DEFAULTS = Defaults()
 
 # The columns that every exported report row starts with.
 BASE_HEADERS = (

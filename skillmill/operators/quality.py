@@ -86,10 +86,53 @@ def stack(findings: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, findings)
 
 
+def row_checks(table: model.Table) -> list[Column]:
+    """Aggregates that count the rows of a table against its definition, named ``check:column``.
+
+    They can be observed while the table is written, so they need no scan of their own.  Keys and
+    references need no check there: an upsert leaves one row a key, parents are joined before, and
+    dimensions are made of the names in the tables.
+    """
+    wrong = {"not_null": lambda c: F.col(c).isNull(), "range": lambda c: ~F.col(c).between(0, 100)}
+    return [F.count(F.when(wrong[kind](c), 1)).alias(f"{kind}:{c}") for kind, c in _row_check_names(table)]
+
+
+def broken(table: str, counts: Mapping[str, int]) -> list[tuple[str, str, str, int]]:
+    """(table, check, column, violations) of the row checks that found something."""
+    return [(table, *name.split(":", 1), n) for name, n in sorted(counts.items()) if n]
+
+
+def check_rows(df: DataFrame, table: model.Table) -> DataFrame:
+    """All row checks of a stored table in one aggregate."""
+    names = [f"{kind}:{column}" for kind, column in _row_check_names(table)]
+    counted = df.agg(*row_checks(table)).select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(n.split(":", 1)[0]).alias("check"), F.lit(n.split(":", 1)[1]).alias("column"), F.col(f"`{n}`").alias("n"))
+                    for n in names
+                ]
+            )
+        ).alias("x")
+    )
+    return counted.select(
+        F.lit(table.name).alias("table_name"), F.col("x.check").alias("check_name"), F.col("x.column").alias("column_name"),
+        F.col("x.n").cast("long").alias("violations"),
+    )
+
+
+def _row_check_names(table: model.Table) -> list[tuple[str, str]]:
+    made = [i for i, natural in model.ids(table).items() if natural in table.required]
+    return [
+        *[("not_null", c) for c in (*made, *table.required)],
+        *[("range", f.name) for f in table.fields if f.kind == "percent"],
+    ]
+
+
 def check_tables(
     tables: Mapping[str, DataFrame], parents_of: Mapping[str, tuple[str, str]]
 ) -> list[DataFrame]:
-    """The checks that the table definitions ask for, one result per table.
+    """An audit of stored tables against all that their definitions ask for, one result per table.
 
     ``parents_of`` maps a table to its parent table and the key they share.
     """
@@ -98,11 +141,7 @@ def check_tables(
         if table.name not in tables:
             continue
         df = tables[table.name]
-        made = [i for i, natural in model.ids(table).items() if natural in table.required]
-        findings = [
-            not_null(df, table.name, [*made, *table.required]),
-            unique(df, table.name, table.key),
-        ]
+        findings = [check_rows(df, table), unique(df, table.name, table.key)]
         if table.name in ("users", "cvs"):
             findings.append(unique(df, table.name, [model.id_column(table.key[0])]))
         if table.name in parents_of:
@@ -113,20 +152,11 @@ def check_tables(
                 findings.append(
                     foreign_key(df, table.name, field.name, tables[field.dimension], "name")
                 )
-        findings += [
-            in_range(df, table.name, f.name, 0, 100) for f in table.fields if f.kind == "percent"
-        ]
         results.append(stack(findings))
     for name in model.DIMENSIONS:
         if name in tables:
             df = tables[name]
             results.append(
-                stack(
-                    [
-                        not_null(df, name, ["name"]),
-                        unique(df, name, ["name"]),
-                        unique(df, name, [model.id_column(name)]),
-                    ]
-                )
+                stack([not_null(df, name, ["name"]), unique(df, name, ["name"]), unique(df, name, [model.id_column(name)])])
             )
     return results

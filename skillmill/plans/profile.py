@@ -56,14 +56,20 @@ def search_profile(
     technologies and clearances never multiply each other.  The person side is
     put together first and looked up once from the CVs.
     """
+    def own_id(df: DataFrame, key: str) -> Column:
+        # Stored tables know their ids; others have them made.
+        name = model.id_column(key)
+        return (F.col(name) if name in df.columns else surrogate_id(F.col(key))).alias(name)
+
     people = (
         users.select(
-            model.USER_KEY, map_pick(F.col("name_multilang")).alias("user_name"), "country"
+            own_id(users, model.USER_KEY), model.USER_KEY, map_pick(F.col("name_multilang")).alias("user_name"), "country"
         )
         .join(highest_clearance(clearances, collation=collation), model.USER_KEY, "left")
         .join(latest_availability(availability), model.USER_KEY, "left")
     )
     resumes = cvs.select(
+        own_id(cvs, model.CV_KEY),
         model.CV_KEY,
         model.USER_KEY,
         map_pick(F.col("title_multilang")).alias("cv_title"),
@@ -74,10 +80,10 @@ def search_profile(
         lookup(resumes, people, model.USER_KEY, "inner")
         .join(skills(technologies), model.CV_KEY, "left")
         .select(
-            surrogate_id(F.col(model.USER_KEY)).alias("user_id"),
+            "user_id",
             model.USER_KEY,
             "user_name",
-            surrogate_id(F.col(model.CV_KEY)).alias("cv_id"),
+            "cv_id",
             model.CV_KEY,
             "cv_title",
             "sfia_level",

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skillmill import model
 from skillmill.model import Table
-from skillmill.operators.lookup import known_only, surrogate_id, unmatched_counts
+from skillmill.operators.lookup import known_only, lookup, surrogate_id
 from skillmill.operators.upsert import new_members, upsert
 from skillmill.plans.transform import REJECT
 from skillmill.sources.reports import FILE_ORDER, MALFORMED
@@ -26,13 +27,22 @@ def _storable(table: Table, rows: DataFrame) -> DataFrame:
     return rows
 
 
-def with_ids(table: Table, rows: DataFrame) -> DataFrame:
-    """Stored layout: the surrogate ids are made from the natural keys, without a join."""
-    made = [
-        F.when(F.col(natural).isNotNull(), surrogate_id(F.col(natural))).alias(name)
-        for name, natural in model.ids(table).items()
-    ]
-    return rows.select(*made, *[f.name for f in table.fields])
+def with_ids(table: Table, rows: DataFrame, exceptions: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Stored layout: the surrogate ids are made from the natural keys.
+
+    That needs no join but for ids that have ``exceptions``: (natural, id) by id column, the few keys
+    whose hash another key holds.
+    """
+    exceptions = exceptions or {}
+    made, named = [], rows
+    for name, natural in model.ids(table).items():
+        value = surrogate_id(F.col(natural))
+        if name in exceptions:
+            other = exceptions[name].select(F.col("natural").alias(natural), F.col("id").alias(f"_{name}"))
+            named = lookup(named, other, natural)
+            value = F.coalesce(F.col(f"_{name}"), value)
+        made.append(F.when(F.col(natural).isNotNull(), value).alias(name))
+    return named.select(*made, *[f.name for f in table.fields])
 
 
 def build(
@@ -41,6 +51,7 @@ def build(
     parents: DataFrame | None = None,
     existing: DataFrame | None = None,
     order: Sequence[str] = FILE_ORDER,
+    exceptions: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The table after the typed rows are upserted into ``existing``.
 
@@ -57,27 +68,34 @@ def build(
     result = upsert(existing, good, table.key, order, table.first_writer)
     if parents is not None and not early:
         result = known_only(result, parents, _parent_key(table))
-    return with_ids(table, result)
+    return with_ids(table, result, exceptions)
 
 
-def rejects(
-    table: Table, rows: DataFrame, parents: DataFrame | None = None, order: Sequence[str] = FILE_ORDER
-) -> DataFrame:
-    """(table_name, problem, row) and the row order for rows of known parents that cannot be stored.
+def unstorable(table: Table, rows: DataFrame, order: Sequence[str] = FILE_ORDER) -> DataFrame:
+    """(table_name, parent, problem, row) and the row order for rows that cannot be stored.
 
     Malformed records are not among them: :func:`malformed` tells of those, whatever their parent cell holds.
     """
     bad = _storable(table, rows).filter(F.col(REJECT).isNotNull() & F.col(MALFORMED).isNull())
-    if parents is not None:
-        bad = known_only(bad, parents, _parent_key(table))
     return bad.select(
         F.lit(table.name).alias("table_name"),
+        (F.col(_parent_key(table)) if table.parent else F.lit(None)).cast("string").alias("parent"),
         F.col(REJECT).alias("problem"),
         F.to_json(F.struct(*[f.name for f in table.fields])).alias("row"),
         *order,
     )
 
 
+def rejects(
+    table: Table, rows: DataFrame, parents: DataFrame | None = None, order: Sequence[str] = FILE_ORDER
+) -> DataFrame:
+    """(table_name, problem, row) and the row order for rows of known parents that cannot be stored."""
+    bad = unstorable(table, rows, order)
+    if parents is not None:
+        bad = known_only(bad, parents.select(F.col(_parent_key(table)).alias("parent")), "parent")
+    return bad.drop("parent")
+
+
 def malformed(table: Table, rows: DataFrame) -> DataFrame:
     """(table_name, problem, row) and the file order of the malformed records among typed rows.
 
@@ -93,24 +111,28 @@ def malformed(table: Table, rows: DataFrame) -> DataFrame:
     )
 
 
-def placed(rejected: DataFrame, rows: DataFrame) -> DataFrame:
+def placed(rejected: DataFrame, scans: DataFrame) -> DataFrame:
     """Rejects with the number of their record in its file block, counted from 1, in place of the row order.
 
-    ``rows`` are all rows of the scan that the rejects come from.
+    ``scans`` are (table_name, _file, _block, _row) of all rows of the scans that the rejects come from.
     """
-    first = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"))
-    return rejected.join(first, ["_file", "_block"]).select(
+    first = scans.groupBy("table_name", "_file", "_block").agg(F.min("_row").alias("_first"))
+    return rejected.join(first, ["table_name", "_file", "_block"]).select(
         "table_name", "problem", "row", F.col("_file").alias("file"), F.col("_block").alias("block"),
         (F.col("_row") - F.col("_first") + 1).alias("record"),
     )
 
 
-def skipped(table: Table, rows: DataFrame, parents: DataFrame) -> DataFrame:
-    """(table_name, parent, rows) for parents that are missing."""
-    key = _parent_key(table)
-    return unmatched_counts(rows.filter(F.col(MALFORMED).isNull()), parents, key).select(
-        F.lit(table.name).alias("table_name"), F.col(key).alias("parent"), "rows"
-    )
+def pointers(table: Table, rows: DataFrame) -> DataFrame:
+    """(table_name, parent) of every well-formed row."""
+    good = rows.filter(F.col(MALFORMED).isNull())
+    return good.select(F.lit(table.name).alias("table_name"), F.col(_parent_key(table)).alias("parent"))
+
+
+def missing_parents(pointing: DataFrame, parents: DataFrame) -> DataFrame:
+    """(table_name, parent, rows) of :func:`pointers` of any tables whose parent is not among ``parents`` (parent)."""
+    counted = pointing.groupBy("table_name", "parent").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(parents, "parent", "left_anti").select("table_name", "parent", "rows")
 
 
 def named(table: Table, rows: DataFrame, parents: DataFrame | None = None) -> DataFrame:
@@ -127,20 +149,34 @@ def named(table: Table, rows: DataFrame, parents: DataFrame | None = None) -> Da
     return known_only(good.select(key, *names).distinct(), parents, key).select(*names)
 
 
-def dimension(
-    name: str, tables: Mapping[str, DataFrame], existing: DataFrame | None = None
-) -> DataFrame:
-    """Members of a dimension that ``tables`` name, added to those it already holds."""
+def new_names(name: str, tables: Mapping[str, DataFrame], existing: DataFrame | None = None) -> DataFrame:
+    """The names (name) that ``tables`` bring in and a dimension does not hold yet."""
     used = [
         tables[t.name].select(F.col(f.name).alias("name"))
         for t in model.TABLES
         for f in t.dimensions
         if f.dimension == name and t.name in tables
     ]
-    names = used[0]
-    for more in used[1:]:
-        names = names.unionByName(more)
-    fresh = new_members(names, existing)
+    return new_members(reduce(DataFrame.unionByName, used), existing)
+
+
+def dimension(
+    name: str, tables: Mapping[str, DataFrame], existing: DataFrame | None = None,
+    exceptions: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Members of a dimension that ``tables`` name, added to those it already holds."""
+    members = new_names(name, tables, existing)
     if existing is not None:
-        fresh = existing.select("name").unionByName(fresh)
-    return fresh.select(surrogate_id(F.col("name")).alias(model.id_column(name)), "name")
+        members = existing.select("name").unionByName(members)
+    return dimension_ids(name, members, exceptions)
+
+
+def dimension_ids(name: str, members: DataFrame, exceptions: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Members of a dimension with their ids."""
+    column = model.id_column(name)
+    value = surrogate_id(F.col("name"))
+    if exceptions and column in exceptions:
+        other = exceptions[column].select(F.col("natural").alias("name"), F.col("id").alias("_id"))
+        members = lookup(members, other, "name")
+        value = F.coalesce(F.col("_id"), value)
+    return members.select(value.alias(column), "name")

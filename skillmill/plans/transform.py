@@ -186,6 +186,7 @@ def clearance_rows(
     order: Sequence[str] = FILE_ORDER,
     strict_dates: bool = False,
     this_year: int = dates.THIS_YEAR,
+    defaults: model.Defaults = model.DEFAULTS,
 ) -> DataFrame:
     """Clearances by person.  A start that is missing or no date counts as the default start."""
 
@@ -194,13 +195,13 @@ def clearance_rows(
         none = F.lit(None).cast("date")
         return none if cell is None else dates.iso_date(cell, strict_dates, this_year)
 
-    start = F.coalesce(day("Valid From"), F.lit(dt.date.fromisoformat(model.DEFAULT_START)))
+    start = F.coalesce(day("Valid From"), F.lit(dt.date.fromisoformat(defaults.start)))
     name = column(df, ("Clearance",))
     given = {
         model.USER_KEY: F.col(model.USER_KEY),
-        "clearance": F.lit(model.DEFAULT_CLEARANCE)
+        "clearance": F.lit(defaults.clearance)
         if name is None
-        else text.normalise(name, model.DEFAULT_CLEARANCE),
+        else text.normalise(name, defaults.clearance),
         "valid_from": start,
         "valid_to": dates.open_ended(start, day("Valid To")),
     }
@@ -214,13 +215,14 @@ def availability_rows(
     order: Sequence[str] = FILE_ORDER,
     strict_dates: bool = False,
     this_year: int = dates.THIS_YEAR,
+    defaults: model.Defaults = model.DEFAULTS,
 ) -> DataFrame:
     source = column(df, ("Source",))
     given = {
         model.USER_KEY: F.col(model.USER_KEY),
-        "source": F.lit(model.DEFAULT_SOURCE)
+        "source": F.lit(defaults.source)
         if source is None
-        else text.normalise(source, model.DEFAULT_SOURCE),
+        else text.normalise(source, defaults.source),
         "updated_at": F.lit(run_time).cast("timestamp"),
     }
     return typed_rows(

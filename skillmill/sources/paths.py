@@ -15,6 +15,17 @@ def exists(spark: SparkSession, location: str) -> bool:
     return fs.exists(path)
 
 
+def qualified(spark: SparkSession, location: str) -> str:
+    """The full path, however it was written."""
+    fs, path = _open(spark, location)
+    return fs.makeQualified(path).toString()
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    fs, path = _open(spark, location)
+    fs.delete(path, True)
+
+
 def child_names(spark: SparkSession, base: str, dirs_only: bool = False) -> list[str]:
     """Names right below ``base``, sorted."""
     fs, path = _open(spark, base)

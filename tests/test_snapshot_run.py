@@ -1,16 +1,23 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from skillmill import model
+from skillmill.operators import lookup
+from skillmill.operators.quality import broken, check_rows, check_tables, row_checks
 from skillmill.plans import derive, tables, transform
-from skillmill.plans.snapshot_run import PROFILE, LoadError, run_snapshot
+from skillmill.plans.snapshot_run import PROFILE, LoadError, parents_of, run_snapshot
 from skillmill.sources.reports import read_report
 from skillmill.sources.warehouse import Warehouse, write_report
 from tests.fixture_reports import REPORTS, write_snapshot
 
 T1 = dt.datetime(2024, 5, 1, 12, 0, 0)
 T2 = dt.datetime(2024, 8, 1, 12, 0, 0)
+T3 = dt.datetime(2024, 9, 1, 12, 0, 0)
+T4 = dt.datetime(2024, 10, 1, 12, 0, 0)
 
 
 def run(spark, reports, warehouse, when=T1, **options):
@@ -204,6 +211,92 @@ def test_malformed_records_are_rejected_with_their_place(spark, tmp_path):
     assert {(r["table_name"], r["parent"]) for r in rows(spark, tmp_path / "out", "skipped")} == {("certification", "1")}
 
 
+def folders(path):
+    return {os.path.relpath(d, path) for d, _, _ in os.walk(path)}
+
+
+def test_history_is_kept_by_period_and_versions_are_cleared(spark, tmp_path):
+    out = tmp_path / "out"
+    head = "Email,Date,Percent Available,Source\n"
+    first = {"availability_report.csv": head + "mira@holt.example,2024-04-01,65,\nmira@holt.example,2024-05-01,10,\n"}
+    write_snapshot(tmp_path / "in", replace=first)
+    one = run(spark, tmp_path / "in", out)
+    assert set(one.paths["user_availability"]) == {"", "2024-04", "2024-05"}
+    assert set(one.paths["user_clearance"]) == {"", "2023"}
+
+    # Without the reports, history and its names stay where they are.
+    write_snapshot(tmp_path / "in", "Q22024", first, leave_out=("availability_report.csv", "sc_clearance.csv"))
+    two = run(spark, tmp_path / "in", out, T2)
+    for name in ("user_availability", "user_clearance", "dim_clearance", "id_exceptions"):
+        assert two.paths[name] == one.paths[name]
+    assert len(rows(spark, out, "user_availability")) == 2
+
+    # A failed run leaves nothing behind.
+    before = folders(out)
+    write_snapshot(tmp_path / "in", "Q32024", {"positions.csv": "CV Partner CV ID,CV Partner section ID\nc-77,p1,x\n"})
+    with pytest.raises(LoadError):
+        run(spark, tmp_path / "in", out, T3)
+    assert folders(out) == before
+
+    # A new month and a changed one are written; the other stays, as do the paths that are still named.
+    third = {"availability_report.csv": head + "mira@holt.example,2024-05-01,20,Later\nmira@holt.example,2024-06-01,30,\n"}
+    write_snapshot(tmp_path / "in", "Q42024", third)
+    three = run(spark, tmp_path / "in", out, T4, keep_versions=1, defaults=model.Defaults(source="Nobody"))
+    parts = three.paths["user_availability"]
+    assert parts["2024-04"] == one.paths["user_availability"]["2024-04"]
+    assert parts["2024-05"] != one.paths["user_availability"]["2024-05"]
+    found = {(r["date"].isoformat(), r["percent_available"], r["source"]) for r in rows(spark, out, "user_availability")}
+    assert found == {("2024-04-01", 65, "Fake generator"), ("2024-05-01", 20, "Later"), ("2024-06-01", 30, "Nobody")}
+    held = folders(out)
+    v1, v2, v4 = (f"v={t:%Y%m%dT%H%M%S%f}" for t in (T1, T2, T4))
+    assert f"{v1}/user_availability/part=2024-04" in held and f"{v1}/user_availability/part=2024-05" not in held
+    assert f"{v1}/users" not in held and v2 not in held and f"{v4}/users" in held
+    assert not any(f.split("/")[1:2] in (["rows"], ["raw"]) for f in held)
+    assert [f for f in held if f.startswith("manifest/")] == [f"manifest/published={T4:%Y%m%dT%H%M%S%f}"]
+    # Every table of the version left can be read, and passes the full audit.
+    tables_ = Warehouse(spark, str(out)).tables()
+    assert all(df.count() >= 0 for df in tables_.values())
+    for check in check_tables(tables_, parents_of()):
+        assert check.filter("violations > 0").collect() == []
+
+
+def test_clashing_ids_are_told_apart_and_stay(spark, tmp_path, monkeypatch):
+    def few(*keys):
+        return F.pmod(F.xxhash64(*keys), F.lit(3 if len(keys) == 1 else 1000)).cast("long")
+
+    monkeypatch.setattr(tables, "surrogate_id", few)
+    monkeypatch.setattr(lookup, "surrogate_id", few)
+    skills = ["SQL", "Perl", "Go", "Lisp", "Ada"]
+    head = "CV Partner CV ID,Skill name\n"
+    write_snapshot(tmp_path / "in", replace={"technologies.csv": head + "".join(f"c-77,{x}\n" for x in skills)})
+    run(spark, tmp_path / "in", tmp_path / "out")
+    first = {r["name"]: r["technology_id"] for r in rows(spark, tmp_path / "out", "dim_technology")}
+    assert set(first) == set(skills) and len(set(first.values())) == 5
+    assert {r["technology"]: r["technology_id"] for r in rows(spark, tmp_path / "out", "cv_technology")} == first
+    # A later run adds names; those that were there keep their ids.
+    more = [*skills[::-1], "C", "Java"]
+    write_snapshot(tmp_path / "in", "Q22024", {"technologies.csv": head + "".join(f"c-77,{x}\n" for x in more)})
+    run(spark, tmp_path / "in", tmp_path / "out", T2)
+    second = {r["name"]: r["technology_id"] for r in rows(spark, tmp_path / "out", "dim_technology")}
+    assert {k: second[k] for k in first} == first and len(set(second.values())) == 7
+    assert {r["technology"]: r["technology_id"] for r in rows(spark, tmp_path / "out", "cv_technology")} == second
+
+
+def test_row_checks_find_what_the_definition_forbids(spark):
+    table = model.USER_AVAILABILITY
+    good = [1, "1", dt.date(2024, 1, 1), 50, "x", T1]
+    bad = [[None, None, dt.date(2024, 1, 2), 101, "x", T1], [1, "1", dt.date(2024, 1, 3), None, "x", None], [1, "1", dt.date(2024, 1, 4), -1, None, T1]]
+    df = spark.createDataFrame([good, *bad], model.schema(table))
+    found = {(r["check_name"], r["column_name"]): r["violations"] for r in check_rows(df, table).collect()}
+    assert {k: n for k, n in found.items() if n} == {
+        ("not_null", "user_id"): 1, ("not_null", "cv_partner_user_id"): 1, ("not_null", "percent_available"): 1,
+        ("not_null", "updated_at"): 1, ("range", "percent_available"): 2,
+    }
+    seen = Observation()
+    df.observe(seen, *row_checks(table)).write.format("noop").mode("overwrite").save()
+    assert {tuple(x[1:3]): x[3] for x in broken(table.name, seen.get)} == {k: n for k, n in found.items() if n}
+
+
 def test_users_are_required(spark, tmp_path):
     write_snapshot(tmp_path / "none", leave_out=("user_report.csv",))
     with pytest.raises(ValueError, match="no rows"):
