@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,16 +66,31 @@ def find_latest_snapshot(spark: SparkSession, base: str) -> str:
 
 def missing_reports(
     found: DataFrame, snapshot: str = "snapshot", report: str = "report",
-    expected: tuple[str, ...] = DELIVERED_REPORTS,
+    expected: tuple[str, ...] = DELIVERED_REPORTS, snapshots: DataFrame | None = None,
 ) -> DataFrame:
     """(snapshot, report) pairs expected but not found.
 
-    A snapshot keeps at most the expected names, so its set stays small however
-    many files it holds, and no join is needed.
+    ``snapshots`` names the snapshots there are; one without any file then lacks all reports.  Without it only
+    snapshots with a file are known.  A snapshot keeps at most the expected names, so its set stays small however
+    many files it holds.
     """
     wanted = F.array(*[F.lit(r) for r in expected])
+    files = found.select(snapshot, report)
+    if snapshots is not None:
+        # A snapshot is a row of its own with no report, so it needs no join.
+        files = files.unionByName(snapshots.select(snapshot, F.lit(None).cast("string").alias(report)))
     return (
-        found.groupBy(snapshot)
+        files.groupBy(snapshot)
         .agg(F.collect_set(F.when(F.col(report).isin(*expected), F.col(report))).alias("_have"))
         .select(snapshot, F.explode(F.array_except(wanted, "_have")).alias(report))
     )
+
+
+def landed_files(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """(snapshots there are, (snapshot, report) of their files) below ``base``."""
+    folders = [n for n in child_names(spark, base, dirs_only=True) if re.match(SNAPSHOT_PATTERN, n)]
+    files = [(f, n.removesuffix(".csv")) for f in folders for n in child_names(spark, join_path(base, f)) if n.endswith(".csv")]
+    return (
+        spark.createDataFrame([(f,) for f in folders], "snapshot string"),
+        spark.createDataFrame(files, "snapshot string, report string"),
+    )

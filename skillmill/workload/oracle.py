@@ -81,14 +81,14 @@ GROUP BY ALL"""
     )
 
 
-_EVENT_PROFILE = """event_profile AS (
-  SELECT p.cv_partner_user_id, max(CASE WHEN k.clearance = 'purchase' THEN 'SC' WHEN k.clearance IS NOT NULL THEN 'None' END) AS clearance,
+_NAMED_PROFILE = """named_profile AS (
+  SELECT r.cv_partner_cv_id, max(CASE WHEN k.clearance = 'purchase' THEN 'SC' WHEN k.clearance IS NOT NULL THEN 'None' END) AS clearance,
          any_value(n.latest_percent_available) AS latest_percent_available
-  FROM people p LEFT JOIN clear k USING (cv_partner_user_id) LEFT JOIN newest n USING (cv_partner_user_id)
-  GROUP BY p.cv_partner_user_id)"""
-
+  FROM people p JOIN resumes r USING (cv_partner_user_id)
+  LEFT JOIN clear k USING (cv_partner_user_id) LEFT JOIN newest n USING (cv_partner_user_id)
+  GROUP BY r.cv_partner_cv_id)"""
 _TOP = "SELECT technology AS name, count(*) AS cnt FROM tech GROUP BY technology ORDER BY cnt DESC, name LIMIT 5"
-_SC = "SELECT 'sc_available' AS metric, CAST(count(*) AS DOUBLE) AS value FROM event_profile WHERE clearance = 'SC' AND latest_percent_available >= 50"
+_SC = "SELECT 'sc_available' AS metric, CAST(count(*) AS DOUBLE) AS value FROM named_profile WHERE clearance = 'SC' AND latest_percent_available >= 50"
 _MEAN = "SELECT 'mean_availability' AS metric, coalesce(avg(percent_available), 0.0) AS value FROM avail"
 _COUNTS = """SELECT 'users' AS metric, CAST(count(*) AS DOUBLE) AS value FROM customer
 UNION ALL SELECT 'cvs', CAST(count(*) AS DOUBLE) FROM orders"""
@@ -282,7 +282,8 @@ FROM customer""",
 FROM (SELECT c_custkey, c_acctbal, DATE '2024-02-20' + CAST(unnest(range(20)) AS INTEGER) AS date FROM customer)""",
     "report_completeness": f"""WITH landed AS (
   SELECT 'u' || user_id || '_Q' || quarter(ts) || year(ts) AS snapshot, {_REPORT_CELL} AS report FROM events),
-wanted AS (SELECT DISTINCT snapshot, unnest([{', '.join(f"'{r}'" for r in _REPORTS)}]) AS report FROM landed)
+wanted AS (SELECT DISTINCT snapshot, unnest([{', '.join(f"'{r}'" for r in _REPORTS)}]) AS report
+  FROM (SELECT snapshot FROM landed UNION SELECT 'u' || c_custkey || '_Q12024' FROM customer))
 SELECT snapshot, report FROM wanted EXCEPT SELECT snapshot, report FROM landed""",
     "office_ids": """SELECT 'off-' || s_suppkey || '-a' AS office_id FROM supplier
 UNION ALL SELECT 'off-' || s_suppkey || '-b' FROM supplier""",
@@ -362,9 +363,9 @@ _TABLES = {
     "latest_availability": _with(_AVAIL, _NEWEST) + "SELECT * FROM newest",
     "top_skills": _with(_TECH) + _TOP,
     "kpi_counts": _COUNTS,
-    "kpi_available": _with(_PEOPLE, _AVAIL, _NEWEST, _CLEAR, _EVENT_PROFILE) + _SC,
+    "kpi_available": _with(_PEOPLE, _AVAIL, _NEWEST, _CLEAR, _RESUMES, _NAMED_PROFILE) + _SC,
     "kpi_mean": _with(_AVAIL) + _MEAN,
-    "kpi_report": _with(_PEOPLE, _AVAIL, _NEWEST, _CLEAR, _EVENT_PROFILE, _TECH)
+    "kpi_report": _with(_PEOPLE, _AVAIL, _NEWEST, _CLEAR, _RESUMES, _NAMED_PROFILE, _TECH)
     + f"""{_COUNTS} UNION ALL SELECT 'top_skill:' || name, CAST(cnt AS DOUBLE) FROM ({_TOP})
 UNION ALL {_SC} UNION ALL {_MEAN}""",
     "nationality_lookup": """WITH last AS (SELECT * FROM (
@@ -397,14 +398,15 @@ SELECT name, parts, count(*) AS lines FROM named LEFT JOIN types ON p_type = nam
   CAST(l_linenumber AS VARCHAR) AS section_key, CAST(trunc(l_quantity) AS INTEGER) AS percent_allocated,
   'part ' || l_partkey AS section_name
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey""",
-    "section_summary": _with(_TECH, """keys AS (SELECT o_orderkey AS k FROM orders UNION SELECT l_orderkey FROM lineitem)""",
+    "section_summary": _with(_TECH, """keys AS (SELECT o_orderkey AS k FROM orders)""",
     "w AS (SELECT l_orderkey AS k, count(*) AS n, max(CAST(l_shipdate AS DATE)) AS d FROM lineitem GROUP BY 1)",
     "p AS (SELECT o_orderkey AS k, count(*) AS n, max(CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY 1)",
     "s AS (SELECT CAST(cv_partner_cv_id AS BIGINT) AS k, count(*) AS n FROM tech GROUP BY 1)")
     + """SELECT CAST(keys.k AS VARCHAR) AS cv_partner_cv_id, CAST(coalesce(w.n, 0) AS INTEGER) AS work_experience_count,
   w.d AS work_experience_updated, CAST(coalesce(p.n, 0) AS INTEGER) AS position_count, p.d AS position_updated,
   CAST(coalesce(s.n, 0) AS INTEGER) AS cv_technology_count, CAST(NULL AS DATE) AS cv_technology_updated
-FROM keys LEFT JOIN w USING (k) LEFT JOIN p USING (k) LEFT JOIN s USING (k)""",
+FROM keys LEFT JOIN w USING (k) LEFT JOIN p USING (k) LEFT JOIN s USING (k)
+UNION ALL SELECT 'c' || c_custkey, 0::INTEGER, NULL, 0::INTEGER, NULL, 0::INTEGER, NULL FROM customer""",
     "upsert_last_wins": _with(_TECH) + "SELECT * FROM tech",
     "upsert_immutable": f"""SELECT l_orderkey, owner, tax FROM (
   SELECT l_orderkey, l_tax AS tax,

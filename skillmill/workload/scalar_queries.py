@@ -280,12 +280,15 @@ def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events are files of the snapshot of their person and quarter; every customer has a first snapshot, with files or not."""
     names = snapshots.DELIVERED_REPORTS
     landed = read(spark, sf_dir, "events").select(
         say("u", F.col("user_id"), "_", dates.quarter_label(F.to_date("ts"))).alias("snapshot"),
         spelling(F.expr("event_id div 3"), *names, "notes").alias("report"),
     )
-    return snapshots.missing_reports(landed)
+    first = dates.quarter_label(F.lit(dt.date(2024, 1, 1)))
+    folders = read(spark, sf_dir, "customer").select(say("u", F.col("c_custkey"), "_", first).alias("snapshot"))
+    return snapshots.missing_reports(landed, snapshots=folders)
 
 
 def office_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,22 +78,22 @@ def kpi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.row_counts(sources.people(spark, sf_dir), sources.resumes(spark, sf_dir))
 
 
-def _event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile with the clearances named as the figures expect them."""
+def _named_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search profile, one row per CV, with the clearances named as the figures expect them."""
     named = sources.clearances(spark, sf_dir).withColumn(
         "clearance", F.when(F.col("clearance") == "purchase", "SC").otherwise("None")
     )
-    newest = latest_availability(spark, sf_dir)
-    cleared = profile.highest_clearance(named)
-    return (
-        sources.people(spark, sf_dir)
-        .join(cleared, model.USER_KEY, "left")
-        .join(newest, model.USER_KEY, "left")
+    return profile.search_profile(
+        sources.people(spark, sf_dir),
+        sources.resumes(spark, sf_dir),
+        sources.technologies(spark, sf_dir),
+        named,
+        sources.availability(spark, sf_dir),
     )
 
 
 def kpi_available(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi.cleared_and_available(_event_profile(spark, sf_dir))
+    return kpi.cleared_and_available(_named_profile(spark, sf_dir))
 
 
 def kpi_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +105,7 @@ def kpi_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         sources.people(spark, sf_dir),
         sources.resumes(spark, sf_dir),
         sources.technologies(spark, sf_dir),
-        _event_profile(spark, sf_dir),
+        _named_profile(spark, sf_dir),
         sources.availability(spark, sf_dir),
     )
 
@@ -244,6 +244,7 @@ def report_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders are CVs, and so are customers, whose sections are empty."""
     lines = read(spark, sf_dir, "lineitem").select(
         word("l_orderkey").alias(model.CV_KEY), F.to_date("l_shipdate").alias("updated_by_owner")
     )
@@ -251,9 +252,9 @@ def section_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         word("o_orderkey").alias(model.CV_KEY), F.to_date("o_orderdate").alias("updated_by_owner")
     )
     skills = sources.technologies(spark, sf_dir).select(model.CV_KEY)
-    return derive.section_summary(
-        {"work_experience": lines, "position": orders, "cv_technology": skills}
-    )
+    blank = read(spark, sf_dir, "customer").select(say("c", F.col("c_custkey")).alias(model.CV_KEY))
+    cvs = sources.resumes(spark, sf_dir).select(model.CV_KEY).unionByName(blank)
+    return derive.section_summary({"work_experience": lines, "position": orders, "cv_technology": skills}, cvs=cvs)
 
 
 # --- upserts and table loads ----------------------------------------------------

@@ -188,4 +188,7 @@ def test_missing_reports(spark):
         [("Q1", n) for n in names] + [("Q1", "extra"), ("Q2", "other")], "snapshot string, report string"
     )
     missing = [tuple(r) for r in snapshots.missing_reports(found).collect()]
+    folders = spark.createDataFrame([("Q1",), ("Q3",)], "snapshot string")
+    every = [tuple(r) for r in snapshots.missing_reports(found, snapshots=folders).collect()]
+    assert sorted(every) == sorted([*missing, *[("Q3", n) for n in snapshots.DELIVERED_REPORTS]])
     assert ("Q1", "blogs") in missing and len(missing) == 1 + 13
