@@ -20,6 +20,7 @@ from skillmill.operators.identifiers import settle
 from skillmill.operators.lookup import known_only
 from skillmill.operators.quality import broken, row_checks
 from skillmill.plans import kpi, profile, tables, transform
+from skillmill.plans.export import export_snapshot
 from skillmill.session import get_spark
 from skillmill.sources.reports import FILE_ORDER, extract, malformed_records
 from skillmill.sources.snapshots import DELIVERED_REPORTS, OTHER_REPORTS
@@ -423,6 +424,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--quarantine", action="store_true", help="set bad rows aside, do not stop")
     parser.add_argument("--strict-headers", action="store_true")
     parser.add_argument("--strict-dates", action="store_true")
+    parser.add_argument("--export", help="folder for the published tables, written back as reports")
     parser.add_argument("--keep-versions", type=int, default=2, help="versions that stay readable, 0 for all")
     for name in ("source", "clearance", "start"):
         parser.add_argument(f"--default-{name}", default=getattr(model.DEFAULTS, name))
@@ -446,6 +448,8 @@ def main(argv: list[str] | None = None) -> None:
         defaults=model.Defaults(args.default_source, args.default_clearance, args.default_start),
     )
     log.info("published %s from %s", result.run, result.snapshot)
+    if args.export:
+        log.info("exported %s", ", ".join(export_snapshot(spark, args.warehouse_dir, args.export)))
     spark.stop()
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from skillmill import model
 from skillmill.operators import lookup
 from skillmill.operators.quality import broken, check_rows, check_tables, row_checks
-from skillmill.plans import derive, tables, transform
+from skillmill.plans import tables
+from skillmill.plans.export import export_snapshot, write_lines
 from skillmill.plans.snapshot_run import PROFILE, LoadError, parents_of, run_snapshot
 from skillmill.sources.reports import read_report
+from skillmill.sources.snapshots import DELIVERED_REPORTS
 from skillmill.sources.warehouse import Warehouse, write_report
 from tests.fixture_reports import REPORTS, write_snapshot
 
@@ -74,23 +76,25 @@ def test_single_person_snapshot(spark, tmp_path):
     assert project["customer_multilang"] == '"{\\"int\\":\\"Norrland Rail\\"}"'
     assert rows(spark, tmp_path / "out", "dim_industry")[0]["name"] == "Transport"
 
-
-    # Exported under the delivered headers, a table loads to the same rows again.
-    out = Warehouse(spark, str(tmp_path / "out"))
-    for table in (model.POSITION, model.PROJECT_EXPERIENCE):
-        exported = derive.report_layout(
-            derive.with_headers(out.table("users"), model.USERS),
-            derive.with_headers(out.table("cvs"), model.CVS),
-            derive.with_headers(out.table(table.name), table),
-        )
-        path = str(tmp_path / "export" / table.report)
-        write_report(exported, path)
-        again = tables.build(
-            table, transform.typed_rows(read_report(spark, path), table), out.table("cvs")
-        )
-        first = {f.name: v for f, v in zip(table.fields, again.select(*[f.name for f in table.fields]).first())}
-        stored = out.table(table.name).first().asDict()
-        assert first == {k: stored[k] for k in first}
+    # Exported under the delivered headers, the reports load to the same tables again.
+    names = export_snapshot(spark, str(tmp_path / "out"), str(tmp_path / "again" / "Q12024"))
+    assert sorted(names) == sorted(DELIVERED_REPORTS)
+    for name in names:
+        parts = [p.read_text(encoding="utf-8") for p in (tmp_path / "again" / "Q12024" / f"{name}.csv").glob("part-*")]
+        assert any(parts)
+        for header in [text.split("\n", 1)[0] for text in parts if text]:
+            assert header.startswith("Name,Name (multilang),Title (#{lang}),") and ".1" not in header
+    run(spark, tmp_path / "again", tmp_path / "second")
+    first, second = (Warehouse(spark, str(tmp_path / x)).tables() for x in ("out", "second"))
+    for table in (model.USERS, model.CVS, *model.SECTIONS):
+        mine, theirs = (sorted(str(r.asDict()) for r in t[table.name].collect()) for t in (first, second))
+        assert mine == theirs, table.name
+    usage = read_report(spark, str(tmp_path / "again" / "Q12024" / "usage_report.csv")).first().asDict()
+    counts = {k: usage[k] for k in ("Project Experiences", "Unique roles", "Highlighted roles", "Positions", "Certifications", "Mentoring")}
+    assert counts == {"Project Experiences": "1", "Unique roles": "1", "Highlighted roles": "1", "Positions": "1", "Certifications": "0", "Mentoring": "0"}
+    assert usage["Owner last updated Positions"] == "2024-02-19" and usage["Owner last updated Certifications"] is None
+    positions = read_report(spark, str(tmp_path / "again" / "Q12024" / "positions.csv")).first()
+    assert positions["Name"] == positions["Name.1"] == "Crew Head"
     with pytest.raises(ValueError, match="not newer"):
         run(spark, tmp_path / "in", tmp_path / "out")
 
@@ -329,3 +333,16 @@ def test_written_reports_keep_the_blanks_of_cells(spark, tmp_path):
     write_report(df, str(tmp_path / "cells.csv"))
     again = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "cells.csv"))
     assert [r["cell"] for r in again.orderBy("no").collect()] == cells
+
+
+def test_lines_under_a_header_that_repeats(spark, tmp_path):
+    cells = [" x ", 'a "b", c', "line\nbreak", None, "", ",", '"', "é\t"]
+    df = spark.createDataFrame([(str(i), c, c) for i, c in enumerate(cells)], "no string, a string, b string").repartition(3)
+    write_lines(df, ("No", "Name", "Name"), str(tmp_path / "r.csv"))
+    again = read_report(spark, str(tmp_path / "r.csv"))
+    found = {r["No"]: (r["Name"], r["Name.1"]) for r in again.collect()}
+    assert found == {str(i): (c or None, c or None) for i, c in enumerate(cells)}
+    assert again.filter("_malformed is not null").isEmpty()
+    write_lines(df.limit(0), ("No", "Name", "Name"), str(tmp_path / "none.csv"))
+    empty = read_report(spark, str(tmp_path / "none.csv"))
+    assert empty.columns[:3] == ["No", "Name", "Name.1"] and empty.isEmpty()
