@@ -18,6 +18,7 @@ each for itself.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -28,17 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skillmill.llm.common import PATTERN, ChunkCoder, blocks, partitions, spelling, stored
+from skillmill.llm.common import PATTERN, blocks, partitions, spelling, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Texts to ids as unsigned 32-bit integers of this machine, little-endian as everywhere Spark runs, by the ``tokenizers`` library.
+    """Texts to the ids of a byte-level BPE file of the ``tokenizers`` library, as unsigned 32-bit integers.
 
-    Its model encodes each pre-token once; texts that hold a special token go through the
-    whole tokenizer.
+    Where every merge makes a piece of a higher id than the merges before it, the ids are ranks, and
+    ``tiktoken`` gives the same ids in a third of the time.  Texts that hold a special token, and other
+    vocabularies, go through the library itself.
     """
 
     def __init__(self, path: str):
@@ -47,29 +49,35 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters = dict(enumerate(spelling()))
-        self.marks: dict[str, bytes] = {}
-        self.coder = ChunkCoder(self.pre_tokens, PATTERN)
-
-    def pre_tokens(self, tokens: list[str]) -> list[bytes]:
-        tokenize, marks, out = self.tokenizer.model.tokenize, self.marks, []
-        for token in tokens:
-            found = marks.get(token)
-            if found is None:
-                spelled = token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-                found = array("I", [x.id for x in tokenize(spelled)]).tobytes()
-                if len(token) == 1:
-                    marks[token] = found
-            out.append(found)
-        return out
+        self.ranked = self.by_rank(path)
+
+    def by_rank(self, path: str):
+        """The vocabulary for ``tiktoken``; None where its ids are no ranks."""
+        import tiktoken
+
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        with open(path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        inverse = {c: b for b, c in enumerate(spelling())}
+        single = [vocabulary.get(c) for c in inverse]
+        if made != sorted(set(made)) or None in single or max(single) > min(made, default=len(vocabulary)):
+            return None
+        if len(vocabulary) - len(merges) - len(single) not in (0, len(self.special)):
+            return None
+        pieces = {x: i for x, i in vocabulary.items() if x not in self.special}
+        ranks = {bytes(inverse[c] for c in x): i for x, i in pieces.items()}
+        return tiktoken.Encoding("ids", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        plain = [t if t and not any(s in t for s in self.special) else "" for t in texts]
-        found = [b"".join(x) for x in self.coder.encode(plain)]
-        for i, t in enumerate(texts):
-            if t and not plain[i]:
-                found[i] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return found
+        return [self.ids(t) if t else b"" for t in texts]
+
+    def ids(self, text: str) -> bytes:
+        if self.ranked is None or any(s in text for s in self.special):
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            found = self.ranked.encode_ordinary(text)
+        return array("I", found).tobytes()
 
 
 def encoder(path: str) -> Encoder:
