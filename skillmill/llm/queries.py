@@ -16,10 +16,15 @@ from skillmill.llm.common import ship, table
 from skillmill.llm.labelled import fold
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The key the session names; one for the test tables where it names none."""
+    return spark.conf.get("spark.skillmill.surrogateKey", "test tables")
+
+
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return surrogates.with_surrogates(docs)
+    return surrogates.with_surrogates(docs, surrogate_key(spark))
 
 
 def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:

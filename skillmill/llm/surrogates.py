@@ -80,6 +80,8 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 ROUNDS = 64
+#: Attempts after which a value may leave the range it was drawn from for a wider one.
+WIDER = 6
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -180,6 +182,13 @@ def longer(hexes: Column, attempt: Column) -> Column:
     return F.array_join(F.slice(letters, 1, F.floor(F.least(attempt, F.lit(48)) / 4).cast("int")), "")
 
 
+def more_digits(hexes: Column, attempt: Column) -> Column:
+    """Digits that follow a number once its own length gives no new values."""
+    digits = F.array(*[number(hexes, 40 + i, 10).cast("string") for i in range(12)])
+    size = F.floor((F.least(attempt, F.lit(59)) - F.lit(2 * WIDER)) / 4).cast("int") + 1
+    return F.when(attempt >= 2 * WIDER, F.array_join(F.slice(digits, 1, size), "")).otherwise("")
+
+
 def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column, attempt: Column) -> Column:
     """The surrogate of a value, in the form of the value; ``part`` is that of its domain or surname."""
     hexes = digest(key, type_, value, attempt.cast("string"))
@@ -189,6 +198,7 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column,
         .when(type_ == "iban", F.lit(2)).when(type_ == "key", F.lit(4)).otherwise(F.lit(0))
     )
     plain = same_form(value, hexes, kept)
+    numeric = F.concat(plain, more_digits(hexes, attempt))
     local = F.substring_index(value, "@", 1)
     mail = F.concat(same_form(local, hexes, F.lit(0)), longer(hexes, attempt), F.lit("@"), part)
     top = F.substring_index(value, ".", -1)
@@ -197,10 +207,11 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column,
     octets = F.split(value, r"\.")
     first = F.get(octets, F.lit(0)).cast("int")
     private = value.rlike(r"^(?:10\.|192\.168\.|127\.)")
+    # A small range is left for the largest private one, and that for any, where it gives no new values.
     ip = F.concat_ws(
         ".",
-        F.when(private, first).otherwise(number(hexes, 0, 99) + 11),
-        F.when(value.startswith("192.168."), F.lit(168)).otherwise(number(hexes, 1, 256)),
+        F.when(private & (attempt < WIDER), first).when(private & (attempt < 2 * WIDER), F.lit(10)).otherwise(number(hexes, 0, 99) + 11),
+        F.when(value.startswith("192.168.") & (attempt < WIDER), F.lit(168)).otherwise(number(hexes, 1, 256)),
         number(hexes, 2, 256), number(hexes, 3, 254) + 1,
     )
     words = F.split(value, " ")
@@ -216,11 +227,12 @@ def drawn(key: str, type_: Column, value: Column, gender: Column, part: Column,
     first = F.when(attempt == 0, given).otherwise(F.concat(given, F.lit("-"), family))
     person = F.when(F.size(words) > 1, F.concat_ws(" ", first, part)).otherwise(part)
     secret = F.when(value.rlike(r"^[0-9a-f]+$"), same_form(value, hexes, F.lit(0), hexadecimal=True)).otherwise(plain)
+    secret = F.concat(secret, more_digits(hexes, attempt))
     return (
         F.when(type_ == "email", mail).when(type_ == "domain", domain).when(type_ == "ip", ip)
         .when(type_ == "ip6", same_form(value, hexes, F.lit(4), hexadecimal=True))
         .when(type_ == "person", person).when(type_ == "surname", family)
-        .when(type_.isin("phone", "card", "ssn", "iban", "key"), plain).otherwise(secret)
+        .when(type_.isin("phone", "card", "ssn", "iban", "key"), numeric).otherwise(secret)
     )
 
 
@@ -264,11 +276,13 @@ def written(raw: Column, type_: Column, surrogate: Column) -> Column:
         before = F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
         return F.when(c.rlike(r"[\p{L}\p{N}]"), F.substring(surrogate, before + 1, F.lit(1))).otherwise(c)
 
+    # A surrogate may be longer than the number it stands for.
+    beyond = F.substring(surrogate, F.length(F.regexp_replace(raw, r"[^\p{L}\p{N}]", "")) + 1, F.length(surrogate))
     title = F.regexp_extract(raw, rf"^(?:{_TITLE})\.? ", 0)
     name = F.when(F.upper(raw) == raw, F.upper(surrogate)).otherwise(surrogate)
     mail = F.when((F.upper(raw) == raw) & raw.rlike(r"\p{L}"), F.upper(surrogate)).otherwise(surrogate)
     return (
-        F.when(type_.isin("phone", "card", "ssn", "iban"), F.array_join(F.transform(F.split(raw, ""), refill), ""))
+        F.when(type_.isin("phone", "card", "ssn", "iban"), F.concat(F.array_join(F.transform(F.split(raw, ""), refill), ""), beyond))
         .when(type_ == "person", F.concat(title, name)).when(type_ == "email", mail).otherwise(surrogate)
     )
 
@@ -296,8 +310,11 @@ def replacements(texts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def with_surrogates(docs: DataFrame, key: str = "skillmill", text_col: str = "text") -> DataFrame:
-    """``docs`` with every entity of the text replaced, and the column ``n_entities``."""
+def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with every entity of the text replaced, and the column ``n_entities``.
+
+    The same ``key`` gives the same surrogates; who does not know it cannot draw them again.
+    """
     columns = [c for c in docs.columns if c != "n_entities"]
     text = F.col(f"`{text_col}`")
     held = F.coalesce(may_hold(text), F.lit(False))
