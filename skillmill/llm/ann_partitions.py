@@ -139,22 +139,30 @@ def fit(x: np.ndarray, k: int, parts: int, aim: float, seed: int = 7) -> dict:
     return model | {"parts": parts, "visits": visits}
 
 
-def routed(vectors: DataFrame, model: dict, visits: int) -> DataFrame:
-    """(k1, k2, v, part): each vector with its ``visits`` most probable parts."""
+def routed(vectors: DataFrame, model: dict, visits: int, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """(k1, k2, v, part): each vector with its ``visits`` most probable parts.
+
+    With the ``sizes`` of the parts more are visited, in the order of the router, until they hold ``least`` vectors.
+    """
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if model["parts"] == 1:
-                top = np.zeros((batch.num_rows, 1), dtype=np.int64)
-            else:
+            number = np.ones(batch.num_rows, dtype=np.int64)
+            order = np.zeros((batch.num_rows, 1), dtype=np.int64)
+            if model["parts"] > 1:
                 x = matrix(batch.column("v").to_pylist(), len(model["w1"]))
-                top = np.argsort(-probabilities(model, x), axis=1, kind="stable")[:, :visits]
-            rows = np.repeat(np.arange(batch.num_rows), top.shape[1])
+                order = np.argsort(-probabilities(model, x), axis=1, kind="stable")
+                number[:] = visits
+                if sizes is not None:
+                    short = (np.cumsum(sizes[order], axis=1) < least).sum(1)
+                    number = np.minimum(np.maximum(number, short + 1), model["parts"])
+            rows = np.repeat(np.arange(batch.num_rows), number)
+            top = order[np.arange(order.shape[1]) < number[:, None]]
             taken = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
-                [*[taken.column(c) for c in ("k1", "k2", "v")], pa.array(top.ravel(), pa.int64())], ["k1", "k2", "v", "part"]
+                [*[taken.column(c) for c in ("k1", "k2", "v")], pa.array(top, pa.int64())], ["k1", "k2", "v", "part"]
             )
 
     return vectors.select("k1", "k2", "v").mapInArrow(run, "k1 long, k2 long, v array<double>, part long")
@@ -191,7 +199,11 @@ def search(
     model = fit(matrix([r.v for r in rows]), k, parts, aim)
     filed = routed(vectors, model, 1).withColumn("salt", F.pmod("k1", F.lit(salts)))
     unique = asked.select(F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2"), "v").groupBy("k1", "k2").agg(F.first("v").alias("v"))
-    sent = routed(unique, model, model["visits"])
+    sizes = np.zeros(model["parts"], dtype=np.int64)
+    # One row a part.
+    for row in filed.groupBy("part").count().collect():
+        sizes[row["part"]] = row["count"]
+    sent = routed(unique, model, model["visits"], sizes, k + 1)
     # Every slice of a part sees the part's queries; a slice bounds what one task compares.
     sent = sent.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])))
     pairs = side(packed(sent, ["part", "salt"]), "q", ["part", "salt"]).join(side(packed(filed, ["part", "salt"]), "x", ["part", "salt"]), ["part", "salt"])
