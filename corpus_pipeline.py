@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skillmill.llm import bin_slack, line_windows, ngram_join, surrogates, toxicity
 from skillmill.llm.common import ship, stored, table
-from skillmill.llm.queries import held_out
+from skillmill.llm.queries import held_out, surrogate_key
 
 
 def resized(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -26,16 +26,20 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return resized(line_windows.drop_repeated_windows(docs), docs)
+    found = line_windows.drop_repeated_windows(docs)
+    # Of a document of nothing but lines that came before, nothing is left to pack.
+    emptied = (F.col("n_removed") > 0) & (F.col("text") == "")
+    return resized(found.where(~F.coalesce(emptied, F.lit(False))), docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
     ship(spark)
     return ngram_join.keep_one(docs, shingle=5, percent=80)
 
 
 def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return resized(surrogates.with_surrogates(docs), docs)
+    return resized(surrogates.with_surrogates(docs, surrogate_key(spark)), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
