@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,32 +19,27 @@ def latest_per_key(
     """One row per key: the last one by ``order``.
 
     ``first_writer`` columns keep the value of the first row instead.  ``order``
-    must tell the rows of a key apart, or only tie rows that are equal.  Both forms
-    reduce on the map side: the top-1 window becomes a group limit before the
-    shuffle, and the aggregate a partial one, so a key that fills a third of the
-    input still ships one row per map task.
+    must tell the rows of a key apart, or only tie rows that are equal.  Both ends are
+    top-1 windows, which become a group limit before the shuffle, so a key that fills a
+    third of the input still ships one row per map task; the first rows carry
+    the keys and the first-writer columns alone.
     """
     columns = [c for c in df.columns if c in keys or keep_order or c not in order]
+
+    def top(rows: DataFrame, ordering: Sequence[Column]) -> DataFrame:
+        ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
+        return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+    last = top(df, [F.col(c).desc() for c in order])
     if not first_writer:
-        newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-        ranked = df.withColumn("_rank", F.row_number().over(newest))
-        return ranked.filter(F.col("_rank") == 1).select(*columns)
-    rest = [c for c in columns if c not in {*keys, *first_writer}]
-    rank = F.struct(*order)
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.max_by(F.struct(*rest, F.lit(1)), rank).alias("_last"),
-            F.min_by(F.struct(*first_writer), rank).alias("_first"),
-        )
-        .select(
-            *[
-                F.col(c)
-                if c in keys
-                else F.col(f"_first.{c}" if c in first_writer else f"_last.{c}")
-                for c in columns
-            ]
-        )
+        return last.select(*columns)
+    narrow = list(dict.fromkeys([*keys, *first_writer, *order]))
+    first = top(df.select(*narrow), [F.col(c).asc() for c in order]).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(f"_first_{c}") for c in first_writer]
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return last.join(first, same).select(
+        *[F.col(f"_first_{c}").alias(c) if c in first_writer else F.col(c) for c in columns]
     )
 
 
