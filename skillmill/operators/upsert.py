@@ -22,7 +22,7 @@ def latest_per_key(
     must tell the rows of a key apart, or only tie rows that are equal.  Both ends are
     top-1 windows, which become a group limit before the shuffle, so a key that fills a
     third of the input still ships one row per map task; the first rows carry
-    the keys and the first-writer columns alone.
+    the keys and the first-writer columns alone.  Rows that lack a key column have no first writer and are left out then.
     """
     columns = [c for c in df.columns if c in keys or keep_order or c not in order]
 
@@ -37,7 +37,8 @@ def latest_per_key(
     first = top(df.select(*narrow), [F.col(c).asc() for c in order]).select(
         *[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(f"_first_{c}") for c in first_writer]
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    # Plain equality lets the join use the shuffles of the two windows.
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_key_{k}") for k in keys])
     return last.join(first, same).select(
         *[F.col(f"_first_{c}").alias(c) if c in first_writer else F.col(c) for c in columns]
     )

@@ -125,11 +125,12 @@ def test_unknown_cv_is_skipped_and_bad_cells_are_named(spark):
     assert rows(built, model.CV_KEY, "year_from", "updated", "highlighted") == [
         ("keep", 2021, dt.date(2024, 2, 1), False)
     ]
-    bad = tables.rejects(model.POSITION, typed, cvs)
+    bad = tables.rejects(model.POSITION, typed, cvs, ORDER)
     assert rows(bad, "problem") == [
         ("cv_partner_section_id",), ("year_from, highlighted, updated",),
     ]
-    assert rows(tables.skipped(model.POSITION, typed, cvs), "parent", "rows") == [("skip", 2)]
+    lost = tables.missing_parents(tables.pointers(model.POSITION, typed), cvs.withColumnRenamed(model.CV_KEY, "parent"))
+    assert rows(lost, "table_name", "parent", "rows") == [("position", "skip", 2)]
 
 
 def test_cv_belongs_to_its_first_known_person(spark):
@@ -153,7 +154,7 @@ def test_technology_without_a_name_is_left_out(spark):
     typed = transform.typed_rows(df, model.CV_TECHNOLOGY, ORDER)
     built = tables.build(model.CV_TECHNOLOGY, typed, cvs, order=ORDER)
     assert rows(built, "technology", "years_experience", "is_official_masterdata") == [("Go", 3, "{}")]
-    assert tables.rejects(model.CV_TECHNOLOGY, typed, cvs).count() == 0
+    assert tables.rejects(model.CV_TECHNOLOGY, typed, cvs, ORDER).count() == 0
     dimension = tables.dimension("dim_technology", {"cv_technology": built})
     joined = built.join(dimension, "technology_id")
     assert rows(joined, "name") == [("Go",)]
@@ -198,7 +199,7 @@ def test_availability_clamp_and_default(spark):
     assert rows(built, "date", "percent_available", "source") == [
         (dt.date(2024, 1, 1), 100, "Fake generator"), (dt.date(2024, 1, 2), 0, "x"),
     ]
-    assert rows(tables.rejects(model.USER_AVAILABILITY, typed), "problem") == [("date",)]
+    assert rows(tables.rejects(model.USER_AVAILABILITY, typed, order=ORDER), "problem") == [("date",)]
 
 
 def test_nationality_of_the_last_usage_row(spark):
