@@ -8,9 +8,14 @@ Which documents share a tree.  Sets of a size class, and of the next, can reach
 similarity only with each other.  Such a pair differs in at most ``floor(na * d)``
 shingles, ``d`` set by the threshold, and a class has more groups than that, so some
 group holds the very same shingles in both.  Documents with the same filling of a
-group are the points of one tree; pairs that share no tree cannot be linked.  A
-document with so many empty groups that this is not certain goes to one more
-tree of its class, where it meets the others of its kind.
+group are the points of one tree; pairs that share no tree cannot be linked.  Two documents for which this
+is not certain, as they have many empty groups, share one of their first shingles, which are
+trees of such documents.
+
+Which trees count.  A document that fills ``f`` groups shares at least ``f - d`` fillings with a partner, so the two
+also meet among the ``d + 1`` fillings that fewest documents hold, in one order for all.  The others, first of all those
+of passages that many documents share, are left out; a document that shares fewer fillings than ``f - d`` with any
+others is left out as a whole.
 
 In a tree, points are packed into leaves by what is already known to be connected,
 each with its bounding box.  Two boxes whose bound is too low are not opened.  Points are
@@ -58,7 +63,8 @@ LARGEST = 1 << 40
 #: What a count of a cell says at most; so many or more.
 FULL = 255
 
-ROW = "bucket int, kind string, a long, b long, c long, d long, keys binary, ids binary"
+ROW = "bucket int, kind string, a long, b long, c long, d long, e long, f long, keys binary, ids binary"
+FOUND = "kind string, a long, b long, c long, d long, e long, f long"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -133,15 +139,20 @@ def counted(hashes: np.ndarray, owner: np.ndarray, groups: np.ndarray) -> tuple[
     return first[owner] + within.astype(np.int64), first
 
 
-def tree_keys(sets: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """(key, index of the set) for every filled group, in the set's two trees."""
+def tree_keys(sets: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, index of the set) for every filled group, in the set's two trees, and how many keys of each tree may be left out.
+
+    The number of the set's own class is in the lower byte of the first of the two.
+    Where a set may share no filling with a partner, its first shingles are keys as well and none may be left out.
+    """
     n = np.array([len(s) for s in sets], dtype=np.int64)
-    keys, owners = [], []
+    keys, owners, spare = [], [], np.zeros((len(sets), 2), dtype=np.int64)
     used = np.flatnonzero(n)
     if not len(used):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), spare
     hashes, n = np.concatenate([sets[i] for i in used]), n[used]
     owner = np.repeat(np.arange(len(used)), n)
+    start = np.cumsum(n) - n
     low, high = (hashes & np.uint64(0xFFFFFFFF)).astype(float), (hashes >> np.uint64(32)).astype(float)
     for back in (0, 1):
         tree = shape.classes(n) - back
@@ -155,12 +166,21 @@ def tree_keys(sets: list[np.ndarray], shape: Shape) -> tuple[np.ndarray, np.ndar
         group = np.arange(size) - first[who]
         key = mixed(sums[0] * _MULTIPLIERS[0] + mixed(sums[1] + _MULTIPLIERS[1] * group.astype(np.uint64)))
         filled = (number > 0) & live[who]
-        certain = np.bincount(who[filled], minlength=len(used)) > shape.differing(n, np.maximum(tree, 1))
-        rare = np.flatnonzero(live & ~certain)
+        differing = shape.differing(n, np.maximum(tree, 1))
+        more = np.bincount(who[filled], minlength=len(used)) - differing
+        spare[used, back] = np.where(live, np.maximum(more - 1, 0), 0)
+        if not back:
+            spare[used, 0] = spare[used, 0] << 8 | tree
+        # At most so many of a set's shingles are not its partner's, so the two share one of their first.
+        rare = np.flatnonzero(live & (more <= 0))
+        many = np.minimum(differing[rare] + 1, n[rare])
+        at = np.repeat(start[rare] + many - np.cumsum(many), many) + np.arange(int(many.sum()))
+        whose = np.repeat(rare, many)
         # The key's last byte is the tree's class; there are fewer than 256.
-        keys += [key[filled] << np.uint64(8) | tree[who[filled]].astype(np.uint64), tree[rare].astype(np.uint64)]
-        owners += [who[filled], rare]
-    return np.concatenate(keys), used[np.concatenate(owners)]
+        for k, i in ((key[filled], who[filled]), (mixed(hashes[at] + _MULTIPLIERS[2]), whose)):
+            keys.append(k << np.uint64(8) | tree[i].astype(np.uint64))
+            owners.append(i)
+    return np.concatenate(keys), used[np.concatenate(owners)], spare
 
 
 def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +198,7 @@ def tree_rows(shape: Shape, size: int, buckets: int):
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         names = [x.split()[0] for x in ROW.split(", ")]
-        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4, *[pa.binary()] * 2]
+        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 6, *[pa.binary()] * 2]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names
         )
@@ -191,13 +211,14 @@ def tree_rows(shape: Shape, size: int, buckets: int):
                 sets.append(found if doc is not None else found[:0])
                 h = xxhash.xxh3_128_intdigest(found.tobytes())
                 halves = [(h >> s & (1 << 64) - 1) - (1 << 63) for s in (0, 64)]
-                rows.append((hash((doc, i)) % buckets, "doc", doc, len(found), *halves, None, None))
+                rows.append((hash((doc, i)) % buckets, "doc", doc, len(found), *halves))
             # Copies within the block need not all be packed; a row without an id stands for none of them.
             seen: dict[tuple, int] = {}
             for i, row in enumerate(rows):
                 if ids[i] is not None and seen.setdefault(row[4:6], i) != i:
                     sets[i] = sets[i][:0]
-            keys, owner = tree_keys(sets, shape)
+            keys, owner, spare = tree_keys(sets, shape)
+            rows = [(*row, *map(int, spare[i]), None, None) for i, row in enumerate(rows)]
             if not len(keys):
                 yield out(rows)
                 continue
@@ -208,13 +229,13 @@ def tree_rows(shape: Shape, size: int, buckets: int):
             shared = np.repeat(length > 1, length)
             if shared.any():
                 at = len(rows) % buckets
-                rows.append((at, "members", None, None, None, None, keys[shared].tobytes(), doc[shared].tobytes()))
+                rows.append((at, "members", *[None] * 6, keys[shared].tobytes(), doc[shared].tobytes()))
             keys, doc = keys[begin], doc[begin]
             bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             order = np.lexsort((doc, bucket))
             keys, doc, bucket = keys[order], doc[order], bucket[order]
             for b, k in zip(*runs(bucket), strict=True):
-                rows.append((int(bucket[b]), "keys", None, None, None, None, keys[b : b + k].tobytes(), doc[b : b + k].tobytes()))
+                rows.append((int(bucket[b]), "keys", *[None] * 6, keys[b : b + k].tobytes(), doc[b : b + k].tobytes()))
             yield out(rows)
 
     return run
@@ -223,9 +244,9 @@ def tree_rows(shape: Shape, size: int, buckets: int):
 def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the keys dealt to a task, those of several documents; other rows pass through."""
 
-    def out(kind, a, b, c, d):
-        arrays = [pa.array([kind] * len(a)), *[pa.array(x, pa.int64()) for x in (a, b, c, d)]]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "a", "b", "c", "d"])
+    def out(kind, *columns):
+        arrays = [pa.array([kind] * len(columns[0])), *[pa.array(x, pa.int64()) for x in columns]]
+        return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in FOUND.split(", ")])
 
     def unpacked(batch):
         rows = zip(*[batch.column(c).to_pylist() for c in ("keys", "ids")], strict=True)
@@ -234,14 +255,14 @@ def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def members(keys, doc):
         none = pa.nulls(len(keys), pa.int64())
-        return out("member", keys.view(np.int64), doc, none, none)
+        return out("member", keys.view(np.int64), doc, none, none, none, none)
 
     held = []
     for batch in batches:
         kind = batch.column("kind")
         docs = batch.filter(pc.equal(kind, "doc"))
         if docs.num_rows:
-            yield out("doc", *[docs.column(c) for c in "abcd"])
+            yield out("doc", *[docs.column(c) for c in "abcdef"])
         known = batch.filter(pc.equal(kind, "members"))
         if known.num_rows:
             yield members(*unpacked(known))
@@ -441,6 +462,28 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
     return met.union(opened.mapInArrow(leaf_pairs(shape), pairs)).groupBy("u", "v").agg(F.min("tree").alias("tree"))
 
 
+def shared(trees: DataFrame) -> DataFrame:
+    """The rows of keys that several documents hold, and how many do (n_key)."""
+    several = trees.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("n_key"))
+    return trees.join(several.where("lo < hi").select("key", "n_key"), "key")
+
+
+def rarest(held: DataFrame) -> DataFrame:
+    """(key, rep, tree): of the shared keys (key, rep, own, back), those among which linked documents must meet.
+
+    A document's keys stand in one order for all documents, the rarest first; ``own`` and ``back`` say
+    how many at the end of it can be left out.
+    """
+    known = shared(held).withColumn("tree", F.col("key").bitwiseAND(255))
+    of_tree = Window.partitionBy("rep", "tree")
+    is_own = F.col("tree") == F.col("own").bitwiseAND(255)
+    spare = F.when(is_own, F.shiftright("own", 8)).otherwise(F.col("back"))
+    ranked = known.select(
+        "*", F.row_number().over(of_tree.orderBy("n_key", "key")).alias("nth"), F.count("*").over(of_tree).alias("n_tree")
+    )
+    return shared(ranked.where(F.col("nth") <= F.col("n_tree") - spare).select("key", "rep", "tree")).drop("n_key")
+
+
 def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
     """(u, v, tree): each component with the few documents of others it shares most trees with.
 
@@ -464,21 +507,22 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = 4 * partitions(spark)
     packed = texts.mapInArrow(tree_rows(shape, shingle, buckets), ROW)
-    found = stored(
-        packed.repartition(partitions(spark), "bucket").mapInArrow(shared_rows, "kind string, a long, b long, c long, d long"),
-        "trees",
+    found = stored(packed.repartition(partitions(spark), "bucket").mapInArrow(shared_rows, FOUND), "trees")
+    names = {"a": "doc_id", "b": "n", "c": "h1", "d": "h2", "e": "spare_own", "f": "spare_back"}
+    info = found.where("kind = 'doc'").select(*[F.col(c).alias(name) for c, name in names.items()])
+    # Copies that emitted no keys say that no key may be left out; those that did know better.
+    classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("rep"), F.max("spare_own").alias("own"), F.max("spare_back").alias("back"), F.first("n").alias("n")
     )
-    info = found.where("kind = 'doc'").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), F.col("c").alias("h1"), F.col("d").alias("h2"))
-    classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("doc_id"))
     touched = members.select("doc_id").distinct().join(info.where("n > 0").select("doc_id", "h1", "h2").distinct(), "doc_id")
-    reps = stored(touched.join(classes, ["h1", "h2"]).select("doc_id", "rep").distinct(), "reps")
-    held = members.join(reps, "doc_id").select("key", "rep").distinct()
-    several = held.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    trees = stored(held.join(several, "key").withColumn("tree", F.col("key").bitwiseAND(255)), "trees")
+    reps = stored(touched.join(classes, ["h1", "h2"]).select("doc_id", "rep", "own", "back").distinct(), "reps")
+    trees = stored(rarest(members.join(reps, "doc_id").drop("doc_id").distinct()), "rarest")
     nodes = trees.select("rep").distinct()
-    chosen = texts.join(nodes, texts.doc_id == nodes.rep, "left_semi").dropDuplicates(["doc_id"])
-    vectors = stored(chosen.mapInArrow(points(shape, shingle), "rep long, n long, class long, own binary, back binary, shingles binary"), "points")
+    chosen = texts.join(nodes, texts.doc_id == nodes.rep, "left_semi")
+    columns = "rep long, n long, class long, own binary, back binary, shingles binary"
+    # An id with several texts is a point for each of them.
+    vectors = stored(chosen.mapInArrow(points(shape, shingle), columns).dropDuplicates(["rep", "shingles"]), "points")
 
     # Similar documents share most of their trees, so some of the trees are enough to connect most of them.
     some = stored(trees.where(F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0), "some")
