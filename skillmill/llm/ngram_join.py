@@ -383,7 +383,7 @@ def small_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["u", "v", "tree"])
 
 
-LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes binary, counts binary, most binary"
+LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes binary, counts binary, most binary, keys binary, owners binary"
 
 
 def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,20 +398,25 @@ def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             sizes = np.array([r["n"] for r in rows], dtype=np.int64)
             # A box with a full cell is open to all.
             most = np.full_like(groups[0], sizes.max()) if full else groups.max(0)
-            out.append([a.tobytes() for a in (x["rep"], x["component"], sizes, counts, most)])
+            keys = np.concatenate([np.array(r["keys"], dtype=np.int64) for r in rows])
+            owners = np.repeat(np.arange(len(rows)), [len(r["keys"]) for r in rows])
+            out.append([a.tobytes() for a in (x["rep"], x["component"], sizes, counts, most, keys, owners)])
         own = [batch.column(c) for c in ("key", "tree", "leaf")]
-        made = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.binary())] * 5
+        made = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.binary())] * 7
         yield pa.RecordBatch.from_arrays([*own, *made], [x.split()[0] for x in LEAF_ROW.split(", ")])
 
 
 def leaf_pairs(shape: Shape):
-    """Opens pairs of leaves whose boxes may hold linked points and bounds the points."""
+    """Opens pairs of leaves whose boxes may hold linked points and bounds the points.
+
+    Points that share several trees are bounded in the one of the smallest key only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v, trees, held = [], [], [], batch.to_pydict()
             for i in range(batch.num_rows):
-                a, b = ({k: np.frombuffer(held[f"{s}_{k}"][i], np.int64) for k in ("reps", "comps", "sizes")} for s in "ab")
+                a, b = ({k: np.frombuffer(held[f"{s}_{k}"][i], np.int64) for k in ("reps", "comps", "sizes", "keys", "owners")} for s in "ab")
                 box = [np.frombuffer(held[f"{s}_most"][i], np.int32) for s in "ab"]
                 if np.minimum(*box).sum() < shape.needed(a["sizes"].min(), b["sizes"].min()):
                     continue
@@ -421,6 +426,13 @@ def leaf_pairs(shape: Shape):
                     enough = a["comps"][k] != b["comps"]
                     if same:
                         enough[: k + 1] = False
+                    if not enough.any():
+                        continue
+                    mine = a["keys"][a["owners"] == k]
+                    earlier = np.sort(mine[mine < held["key"][i]])
+                    if len(earlier):
+                        place = np.minimum(np.searchsorted(earlier, b["keys"]), len(earlier) - 1)
+                        enough[b["owners"][earlier[place] == b["keys"]]] = False
                     at = np.flatnonzero(enough)
                     at = at[may_link(x[k], y[at], shape.needed(a["sizes"][k], b["sizes"][at]))]
                     u.append(np.minimum(a["reps"][k], b["reps"][at]))
@@ -450,8 +462,10 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
     leaf = F.pmod(F.xxhash64("component"), F.ceil(F.col("n_key") / LEAF).cast("long")) * F.lit(1 << 20) + F.pmod(
         F.xxhash64("rep"), F.least(F.ceil(F.col("n_comp") / LEAF), F.lit(1 << 20)).cast("long")
     )
-    points_ = large.join(size, ["key", "component"]).join(by_tree(docs), ["rep", "tree"])
-    grouped = points_.select("key", "tree", leaf.alias("leaf"), F.struct("rep", "component", "n", "counts").alias("x"))
+    # A document is in no more trees than it has groups.
+    of = large.groupBy("rep").agg(F.collect_list("key").alias("keys"))
+    points_ = large.join(size, ["key", "component"]).join(by_tree(docs), ["rep", "tree"]).join(of, "rep")
+    grouped = points_.select("key", "tree", leaf.alias("leaf"), F.struct("rep", "component", "n", "counts", "keys").alias("x"))
     leaves = stored(grouped.groupBy("key", "tree", "leaf").agg(F.collect_list("x").alias("held")).mapInArrow(packed_leaves, LEAF_ROW), "leaves")
 
     def side(s: str, *more: str) -> DataFrame:
