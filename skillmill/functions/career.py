@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from skillmill.functions.text import let, strip
 
-# The label for responsibility levels 2 (and below) to 6 (and above).
-# The digit is the development level and the last letter its band.
-CPD_LABELS = ("CPD1E", "CPD2L", "CPD3E", "CPD3L", "CPD4E")
+# Development level, band and label per responsibility level; lower levels
+# count as the first and higher ones as the last.
+CPD_RULES = {
+    2: (1, "E", "CPD1E"),
+    3: (2, "L", "CPD2L"),
+    4: (3, "E", "CPD3E"),
+    5: (3, "L", "CPD3L"),
+    6: (4, "E", "CPD4E"),
+}
 
 # Responsibility level per job level; any other job level counts as 4.
 ROLE_LEVELS = {
@@ -54,17 +60,23 @@ def _strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def cpd_label(sfia: Column) -> Column:
-    position = F.greatest(F.lit(2), F.least(F.lit(6), sfia)) - 1
-    return F.when(sfia.isNotNull(), F.element_at(_strings(CPD_LABELS), position.cast("int")))
+def _cpd(sfia: Column, part: int) -> Column:
+    first, last = min(CPD_RULES), max(CPD_RULES)
+    values = F.array(*[F.lit(CPD_RULES[level][part]) for level in range(first, last + 1)])
+    position = F.greatest(F.lit(first), F.least(F.lit(last), sfia)) - (first - 1)
+    return F.when(sfia.isNotNull(), F.element_at(values, position.cast("int")))
 
 
 def cpd_level(sfia: Column) -> Column:
-    return cpd_label(sfia).substr(4, 1).cast("int")
+    return _cpd(sfia, 0)
 
 
 def cpd_band(sfia: Column) -> Column:
-    return cpd_label(sfia).substr(5, 1)
+    return _cpd(sfia, 1)
+
+
+def cpd_label(sfia: Column) -> Column:
+    return _cpd(sfia, 2)
 
 
 def role_level(level: Column) -> Column:
