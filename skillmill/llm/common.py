@@ -59,6 +59,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it from being one of the columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def blocks(batches: Iterator[pa.RecordBatch], most_chars: int = 4_000_000, text: str = "text") -> Iterator[dict]:
     """Columns of the batches as lists, cut where the texts of a block get too long."""
     for batch in batches:

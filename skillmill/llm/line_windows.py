@@ -8,7 +8,7 @@ put together before lines are taken out.
 Defined results: a text with fewer than three lines, a null text and a row without
 an id stay as they are; a window of three empty lines counts for nothing; rows that
 repeat an id are one document.  A document whose lines are all covered keeps its
-row with an empty text.  Other columns, whatever their names, pass through.
+row with an empty text.  Other columns pass through, but for ``n_lines`` and ``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skillmill.llm.common import unused
+
 WINDOW = 3
 
 
@@ -67,29 +69,26 @@ def repeated_positions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame
 
 
 def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the covered lines taken out, and the columns ``n_lines`` and ``n_removed``."""
-    ours = ("__starts", "__lines", "__kept")
-    starts = repeated_positions(docs, id_col, text_col).select(
-        F.col("doc").alias("__doc"), F.col("starts").alias("__starts")
-    )
+    """``docs`` with the covered lines taken out, and the columns ``n_lines`` and ``n_removed``, which replace columns of these names."""
+    doc, starts, lines, kept = unused(docs, "__doc", "__starts", "__lines", "__kept")
+    found = repeated_positions(docs, id_col, text_col).select(F.col("doc").alias(doc), F.col("starts").alias(starts))
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*others).join(starts, F.col(id_col) == F.col("__doc"), "left")
-    lines = F.split(F.col(text_col), "\n")
-    split = joined.withColumn("__lines", F.when(F.col("__starts").isNotNull(), lines))
-    covered = F.flatten(
-        F.transform("__starts", lambda s: F.array(*[s + F.lit(k) for k in range(WINDOW)]))
+    columns = [F.col(f"`{c}`") for c in others]
+    joined = docs.select(*columns).join(found, F.col(f"`{id_col}`") == F.col(doc), "left")
+    content, hit = F.col(f"`{text_col}`"), F.col(starts).isNotNull()
+    split = joined.withColumn(lines, F.when(hit, F.split(content, "\n")))
+    covered = F.flatten(F.transform(starts, lambda s: F.array(*[s + F.lit(k) for k in range(WINDOW)])))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
+    split = split.withColumn(kept, F.when(hit, left))
+    text = F.when(~hit, content).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")
     )
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), covered)
-    split = split.withColumn("__kept", F.when(F.col("__starts").isNotNull(), kept))
-    text = F.when(F.col("__starts").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform("__kept", lambda i: F.get(F.col("__lines"), i)), "\n")
+    n_lines = F.when(hit, F.size(lines)).otherwise(
+        F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit(""))) + 1
     )
-    n_lines = F.when(F.col("__starts").isNotNull(), F.size("__lines")).otherwise(
-        F.length(F.col(text_col)) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1
-    )
-    removed = F.when(F.col("__starts").isNotNull(), F.size("__lines") - F.size("__kept")).otherwise(F.lit(0))
+    removed = F.when(hit, F.size(lines) - F.size(kept)).otherwise(F.lit(0))
     return split.select(
         *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in others],
         F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
         removed.cast("long").alias("n_removed"),
-    ).drop(*ours)
+    )

@@ -18,7 +18,7 @@ that occurs in the texts.  Values that lose such a check are drawn again.
 
 Defined results: null and empty texts and texts without entities stay as they are; equal
 texts are treated alike whatever their ids, so null and repeated ids need no rule; other
-columns pass through.
+columns pass through, but for ``n_entities``, which is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skillmill.llm.common import stored
+from skillmill.llm.common import stored, unused
 
 # Titles, with the gender they tell; written here for the languages of the texts.
 TITLES = {
@@ -320,15 +320,16 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
     held = F.coalesce(may_hold(text), F.lit(False))
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
     some = docs.where(held).select(*keys, text.alias("text"))
-    filled = replacements(some, key).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("filled").alias("__filled"))
+    k1, k2, new = unused(docs, "__k1", "__k2", "__filled")
+    filled = replacements(some, key).select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("filled").alias(new))
     joined = docs.where(held).select(*[F.col(f"`{c}`") for c in columns]).join(
-        filled, (F.xxhash64(text) == F.col("__k1")) & (F.xxhash64(F.lit(1), text) == F.col("__k2")), "left"
+        filled, (F.xxhash64(text) == F.col(k1)) & (F.xxhash64(F.lit(1), text) == F.col(k2)), "left"
     )
     between = F.split(text, ENTITY)
-    replaced = F.array_join(F.zip_with(between, F.col("__filled"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    replaced = F.array_join(F.zip_with(between, F.col(new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = joined.select(
-        *[F.when(F.col("__filled").isNull(), text).otherwise(replaced).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns],
-        F.coalesce(F.size("__filled"), F.lit(0)).cast("long").alias("n_entities"),
+        *[F.when(F.col(new).isNull(), text).otherwise(replaced).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns],
+        F.coalesce(F.size(new), F.lit(0)).cast("long").alias("n_entities"),
     )
     plain = docs.where(~held).select(*[F.col(f"`{c}`") for c in columns], F.lit(0).cast("long").alias("n_entities"))
     return plain.union(changed)

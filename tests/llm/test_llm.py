@@ -57,6 +57,18 @@ def texts_of(session):
     return {r.doc_id: r.text for r in table(session, SF, "documents").select("doc_id", "text").collect()}
 
 
+def test_names_of_work_columns_in_the_input(session):
+    names = "doc_id long, text string, __k1 int, __filled int, __starts string, __lines int, _doc int, __doc int"
+    rows = [(1, "Mr John Smith\na\nb\nc", 1, 2, "s", 3, 4, 5), (2, "x\na\nb\nc", 1, 2, "s", 3, 4, 5)]
+    docs = session.createDataFrame(rows, names)
+    found = surrogates.with_surrogates(docs, "k")
+    assert found.columns == [*docs.columns, "n_entities"]
+    assert {tuple(r)[2:] for r in found.collect()} == {(1, 2, "s", 3, 4, 5, 1), (1, 2, "s", 3, 4, 5, 0)}
+    found = line_windows.drop_repeated_windows(docs)
+    assert found.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert {tuple(r)[1:] for r in found.collect()} == {(rows[0][1], 1, 2, "s", 3, 4, 5, 4, 0), ("x", 1, 2, "s", 3, 4, 5, 4, 3)}
+
+
 def test_more_values_than_a_small_range_has(session):
     """40,000 addresses of a range of 65,024, none of which may stand for one of them, and most of the numbers of four digits."""
     hosts = [f"192.168.{i // 250}.{i % 250 + 1}" for i in range(40_000)]
