@@ -56,8 +56,10 @@ SPARE = 1.125
 FINE = 8
 #: Points of a leaf, about.
 LEAF = 64
-#: Rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
+#: Most rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
 ROUNDS, SOME, OFFERS = 4, 8, 3
+#: A round that links no more than one in so many documents is the last.
+FEW = 100
 #: Largest set the classes are laid out for.
 LARGEST = 1 << 40
 #: What a count of a cell says at most; so many or more.
@@ -65,6 +67,8 @@ FULL = 255
 
 ROW = "bucket int, kind string, a long, b long, c long, d long, e long, f long, keys binary, ids binary"
 FOUND = "kind string, a long, b long, c long, d long, e long, f long"
+#: Bytes of an Arrow batch that are made Python objects at a time, and pairs that are sent on together.
+PIECE, PAIRS = 1 << 20, 200_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -189,11 +193,11 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.diff(np.concatenate([begin, [len(sorted_keys)]]))
 
 
-def tree_rows(shape: Shape, size: int, buckets: int):
+def tree_rows(shape: Shape, size: int, buckets: int, by_set: bool = False):
     """Maps texts to a row per document and to packed tree keys, dealt out by key.
 
-    A key that occurs in several documents of a block is sent on for the first of
-    them only; the members are then known already and need not meet by key.
+    The keys are those of documents or, ``by_set``, of sets, named by the first half of their hash.
+    ``members`` are keys that occur several times in the block, ``keys`` the others.
     """
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -218,66 +222,59 @@ def tree_rows(shape: Shape, size: int, buckets: int):
                 if ids[i] is not None and seen.setdefault(row[4:6], i) != i:
                     sets[i] = sets[i][:0]
             keys, owner, spare = tree_keys(sets, shape)
+            named = np.array([row[4] if by_set else row[2] or 0 for row in rows], dtype=np.int64)
             rows = [(*row, *map(int, spare[i]), None, None) for i, row in enumerate(rows)]
             if not len(keys):
                 yield out(rows)
                 continue
-            doc = np.array([x if x is not None else 0 for x in ids], dtype=np.int64)[owner]
-            order = np.lexsort((doc, keys))
-            keys, doc = keys[order], doc[order]
-            begin, length = runs(keys)
-            shared = np.repeat(length > 1, length)
-            if shared.any():
-                at = len(rows) % buckets
-                rows.append((at, "members", *[None] * 6, keys[shared].tobytes(), doc[shared].tobytes()))
-            keys, doc = keys[begin], doc[begin]
+            who = named[owner]
+            order = np.lexsort((who, keys))
+            keys, who = keys[order], who[order]
+            _, length = runs(keys)
+            several = np.repeat(length > 1, length)
+            # The bucket is that of the key's upper half, so the order by key is one by bucket.
             bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            order = np.lexsort((doc, bucket))
-            keys, doc, bucket = keys[order], doc[order], bucket[order]
-            for b, k in zip(*runs(bucket), strict=True):
-                rows.append((int(bucket[b]), "keys", *[None] * 6, keys[b : b + k].tobytes(), doc[b : b + k].tobytes()))
+            for kind, part in (("members", several), ("keys", ~several)):
+                if part.any():
+                    k, w, at = keys[part], who[part], bucket[part]
+                    for b, n in zip(*runs(at), strict=True):
+                        rows.append((int(at[b]), kind, *[None] * 6, k[b : b + n].tobytes(), w[b : b + n].tobytes()))
             yield out(rows)
 
     return run
 
 
 def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the keys dealt to a task, those of several documents; other rows pass through."""
+    """Of the keys dealt to a task, those that several hold, each with how many do; rows of documents pass through."""
 
     def out(kind, *columns):
         arrays = [pa.array([kind] * len(columns[0])), *[pa.array(x, pa.int64()) for x in columns]]
         return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in FOUND.split(", ")])
 
-    def unpacked(batch):
-        rows = zip(*[batch.column(c).to_pylist() for c in ("keys", "ids")], strict=True)
-        parts = [(np.frombuffer(k, np.uint64), np.frombuffer(i, np.int64)) for k, i in rows]
-        return [np.concatenate(x) for x in zip(*parts, strict=True)]
-
-    def members(keys, doc):
-        none = pa.nulls(len(keys), pa.int64())
-        return out("member", keys.view(np.int64), doc, none, none, none, none)
-
     held = []
     for batch in batches:
         kind = batch.column("kind")
         docs = batch.filter(pc.equal(kind, "doc"))
         if docs.num_rows:
             yield out("doc", *[docs.column(c) for c in "abcdef"])
-        known = batch.filter(pc.equal(kind, "members"))
-        if known.num_rows:
-            yield members(*unpacked(known))
-        packed = batch.filter(pc.equal(kind, "keys"))
-        if packed.num_rows:
-            held.append(unpacked(packed))
+        packed = batch.filter(pc.not_equal(kind, "doc"))
+        rows = zip(*[packed.column(c).to_pylist() for c in ("keys", "ids")], strict=True)
+        held += [(np.frombuffer(k, np.uint64), np.frombuffer(i, np.int64)) for k, i in rows]
     if held:
-        keys, doc = [np.concatenate(x) for x in zip(*held, strict=True)]
-        order = np.argsort(keys, kind="stable")
-        keys, doc = keys[order], doc[order]
-        begin, length = runs(keys)
-        several = np.repeat(length > 1, length)
-        for i in range(0, int(several.sum()), 200_000):
-            part = slice(i, i + 200_000)
-            yield members(keys[several][part], doc[several][part])
+        keys, who = [np.concatenate(x) for x in zip(*held, strict=True)]
+        held = []
+        order = np.lexsort((who, keys))
+        keys, who = keys[order], who[order]
+        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])])
+        keys, who = keys[new], who[new]
+        _, length = runs(keys)
+        number = np.repeat(length, length)
+        several = number > 1
+        keys, who, number = keys[several].view(np.int64), who[several], number[several]
+        for i in range(0, len(keys), PAIRS):
+            part = slice(i, i + PAIRS)
+            none = pa.nulls(len(keys[part]), pa.int64())
+            yield out("member", keys[part], who[part], number[part], none, none, none)
 
 
 def points(shape: Shape, size: int):
@@ -340,7 +337,7 @@ def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
         return sides[0].join(sides[1], ["u", "v", *on])
 
     def bound(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             held = batch.to_pydict()
             keep = []
             for a, b, na, nb in zip(*[held[c] for c in ("u_counts", "v_counts", "u_n", "v_n")], strict=True):
@@ -349,7 +346,7 @@ def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     def exact(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             held = batch.to_pydict()
             keep = []
             for a, b in zip(held["u_shingles"], held["v_shingles"], strict=True):
@@ -363,24 +360,48 @@ def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
     return met(passed, docs, [], ["shingles"]).mapInArrow(exact, "u long, v long")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes: as Python objects rows take many times that."""
+    for batch in batches:
+        step = max(1, batch.num_rows * (most or PIECE) // max(batch.nbytes, 1))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
+class Pairs:
+    """Pairs (u, v, tree) gathered from arrays and given out as batches of no more than some."""
+
+    def __init__(self):
+        self.held, self.number = [], 0
+
+    def add(self, i: np.ndarray, k: np.ndarray, tree: int) -> None:
+        if len(i):
+            self.held.append((np.minimum(i, k), np.maximum(i, k), np.full(len(i), tree)))
+            self.number += len(i)
+
+    def out(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        if self.held and (last or self.number >= PAIRS):
+            arrays = [np.concatenate(x) for x in zip(*self.held, strict=True)]
+            self.held, self.number = [], 0
+            for i in range(0, len(arrays[0]), PAIRS):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + PAIRS], pa.int64()) for x in arrays], ["u", "v", "tree"])
+
+
 def listed(rows: list) -> dict[str, np.ndarray]:
     return {c: np.array([r[c] for r in rows], dtype=np.int64) for c in ("rep", "component")}
 
 
 def small_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of points of different components, of trees that are a single leaf."""
-    for batch in batches:
-        u, v, trees = [], [], []
+    pairs = Pairs()
+    for batch in pieces(batches):
         for tree, rows in zip(batch.column("tree").to_pylist(), batch.column("held").to_pylist(), strict=True):
             x = listed(rows)
             i, k = np.triu_indices(len(rows), 1)
             apart = x["component"][i] != x["component"][k]
-            i, k = x["rep"][i[apart]], x["rep"][k[apart]]
-            u.append(np.minimum(i, k))
-            v.append(np.maximum(i, k))
-            trees.append(np.full(len(i), tree))
-        arrays = [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (u, v, trees)]
-        yield pa.RecordBatch.from_arrays(arrays, ["u", "v", "tree"])
+            pairs.add(x["rep"][i[apart]], x["rep"][k[apart]], tree)
+            yield from pairs.out()
+    yield from pairs.out(last=True)
 
 
 LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes binary, counts binary, most binary, keys binary, owners binary"
@@ -388,7 +409,7 @@ LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes bin
 
 def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per leaf: its points and its bounding box."""
-    for batch in batches:
+    for batch in pieces(batches):
         out = []
         for rows in batch.column("held").to_pylist():
             x = listed(rows)
@@ -413,8 +434,9 @@ def leaf_pairs(shape: Shape):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u, v, trees, held = [], [], [], batch.to_pydict()
+        pairs = Pairs()
+        for batch in pieces(batches):
+            held = batch.to_pydict()
             for i in range(batch.num_rows):
                 a, b = ({k: np.frombuffer(held[f"{s}_{k}"][i], np.int64) for k in ("reps", "comps", "sizes", "keys", "owners")} for s in "ab")
                 box = [np.frombuffer(held[f"{s}_most"][i], np.int32) for s in "ab"]
@@ -435,11 +457,9 @@ def leaf_pairs(shape: Shape):
                         enough[b["owners"][earlier[place] == b["keys"]]] = False
                     at = np.flatnonzero(enough)
                     at = at[may_link(x[k], y[at], shape.needed(a["sizes"][k], b["sizes"][at]))]
-                    u.append(np.minimum(a["reps"][k], b["reps"][at]))
-                    v.append(np.maximum(a["reps"][k], b["reps"][at]))
-                    trees.append(np.full(len(at), held["tree"][i]))
-            arrays = [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (u, v, trees)]
-            yield pa.RecordBatch.from_arrays(arrays, ["u", "v", "tree"])
+                    pairs.add(np.full(len(at), a["reps"][k]), b["reps"][at], held["tree"][i])
+                    yield from pairs.out()
+        yield from pairs.out(last=True)
 
     return run
 
@@ -476,26 +496,23 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
     return met.union(opened.mapInArrow(leaf_pairs(shape), pairs)).groupBy("u", "v").agg(F.min("tree").alias("tree"))
 
 
-def shared(trees: DataFrame) -> DataFrame:
-    """The rows of keys that several documents hold, and how many do (n_key)."""
-    several = trees.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("n_key"))
-    return trees.join(several.where("lo < hi").select("key", "n_key"), "key")
-
-
 def rarest(held: DataFrame) -> DataFrame:
-    """(key, rep, tree): of the shared keys (key, rep, own, back), those among which linked documents must meet.
+    """(key, rep, tree): of the shared keys (key, n_key, h1, rep, own, back), those among which linked documents must meet.
 
-    A document's keys stand in one order for all documents, the rarest first; ``own`` and ``back`` say
+    A set's keys stand in one order for all sets, the rarest first; ``own`` and ``back`` say
     how many at the end of it can be left out.
     """
-    known = shared(held).withColumn("tree", F.col("key").bitwiseAND(255))
-    of_tree = Window.partitionBy("rep", "tree")
+    of_tree = Window.partitionBy("h1", "h2", "tree")
     is_own = F.col("tree") == F.col("own").bitwiseAND(255)
     spare = F.when(is_own, F.shiftright("own", 8)).otherwise(F.col("back"))
-    ranked = known.select(
+    ranked = held.withColumn("tree", F.col("key").bitwiseAND(255)).select(
         "*", F.row_number().over(of_tree.orderBy("n_key", "key")).alias("nth"), F.count("*").over(of_tree).alias("n_tree")
     )
-    return shared(ranked.where(F.col("nth") <= F.col("n_tree") - spare).select("key", "rep", "tree")).drop("n_key")
+    # Each of them is used twice, so they are written rather than ranked again.
+    kept = stored(ranked.where(F.col("nth") <= F.col("n_tree") - spare).select("key", "rep", "tree"), "kept")
+    several = kept.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
+    # An id with several texts may hold a key more than once.
+    return kept.join(several, "key").dropDuplicates(["key", "rep", "tree"])
 
 
 def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
@@ -514,13 +531,21 @@ def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
     return best.select("u", F.col("rep").alias("v"), "tree").distinct()
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (rep, component) after the components that ``links`` (u, v) connect become one."""
+    of = {s: labels.select(F.col("rep").alias(s), F.col("component").alias(f"{s}_of")) for s in "uv"}
+    between = links.join(of["u"], "u").join(of["v"], "v").select(F.col("u_of").alias("u"), F.col("v_of").alias("v"))
+    joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return stored(labels.join(joined, "component", "left").select("rep", F.coalesce("to", "component").alias("component")), "labels")
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the size of its set, the smallest id reachable by links."""
     spark = docs.sparkSession
     shape = Shape(percent)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = 4 * partitions(spark)
-    packed = texts.mapInArrow(tree_rows(shape, shingle, buckets), ROW)
+    packed = texts.mapInArrow(tree_rows(shape, shingle, buckets, by_set=True), ROW)
     found = stored(packed.repartition(partitions(spark), "bucket").mapInArrow(shared_rows, FOUND), "trees")
     names = {"a": "doc_id", "b": "n", "c": "h1", "d": "h2", "e": "spare_own", "f": "spare_back"}
     info = found.where("kind = 'doc'").select(*[F.col(c).alias(name) for c, name in names.items()])
@@ -528,10 +553,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.max("spare_own").alias("own"), F.max("spare_back").alias("back"), F.first("n").alias("n")
     )
-    members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("doc_id"))
-    touched = members.select("doc_id").distinct().join(info.where("n > 0").select("doc_id", "h1", "h2").distinct(), "doc_id")
-    reps = stored(touched.join(classes, ["h1", "h2"]).select("doc_id", "rep", "own", "back").distinct(), "reps")
-    trees = stored(rarest(members.join(reps, "doc_id").drop("doc_id").distinct()), "rarest")
+    members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("h1"), F.col("c").alias("n_key"))
+    trees = stored(rarest(members.join(classes.drop("n"), "h1")), "rarest")
     nodes = trees.select("rep").distinct()
     chosen = texts.join(nodes, texts.doc_id == nodes.rep, "left_semi")
     columns = "rep long, n long, class long, own binary, back binary, shingles binary"
@@ -541,16 +564,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Similar documents share most of their trees, so some of the trees are enough to connect most of them.
     some = stored(trees.where(F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0), "some")
     labels = nodes.select("rep", F.col("rep").alias("component"))
-    edges = None
-    for round_ in range(ROUNDS + 1):
-        if round_ < ROUNDS:
-            pairs = star_pairs(some, labels, round_)
-        else:
-            pairs = tree_join(trees, labels, vectors, shape)
-        new = linked(pairs, vectors, shape)
-        edges = stored(new if edges is None else edges.union(new), "links")
-        joined = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("to"))
-        labels = stored(nodes.join(joined, "rep", "left").select("rep", F.coalesce("to", "rep").alias("component")), "labels")
+    enough = nodes.count() // FEW
+    for round_ in range(ROUNDS):
+        new = stored(linked(star_pairs(some, labels, round_), vectors, shape), "links")
+        labels = merged(labels, new)
+        # Where a round finds few links there are few components left to connect.
+        if new.count() <= enough:
+            break
+    labels = merged(labels, stored(linked(tree_join(trees, labels, vectors, shape), vectors, shape), "links"))
 
     final = classes.join(labels, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("smallest"))
     return info.join(final, ["h1", "h2"], "left").select(

@@ -379,6 +379,42 @@ def test_a_row_without_an_id_takes_no_place_in_its_block():
     assert set(np.concatenate(members).tolist()) == {1, 2}
 
 
+def test_copies_of_other_blocks_share_no_key():
+    """Keys name sets, so copies that lie in several blocks hold a key once; what near copies share says how many do."""
+    words = [f"w{i}" for i in range(80)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    texts = [[(1, text), (2, text)], [(3, text)], [(4, text), (None, near)]]
+
+    def shared(blocks):
+        batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in b], pa.int64()), "text": [t for _, t in b]}) for b in blocks]
+        dealt = ngram_join.tree_rows(ngram_join.Shape(85), 4, 8, by_set=True)(iter(batches))
+        found = [r for b in ngram_join.shared_rows(dealt) for r in b.to_pylist()]
+        return {r["c"]: r["d"] for r in found if r["kind"] == "doc"}, [r for r in found if r["kind"] == "member"]
+
+    assert shared(texts)[1] == []
+    sets, members = shared([*texts, [(5, near), (6, near)]])
+    assert members and {r["b"] for r in members} == set(sets) and {r["c"] for r in members} == {2}
+
+
+def test_pairs_of_small_trees_leave_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIRS", 1000)
+    monkeypatch.setattr(ngram_join, "PIECE", 1 << 12)
+    trees = [[{"rep": 64 * t + i, "component": 64 * t + i // 2} for i in range(64)] for t in range(40)]
+    batch = pa.RecordBatch.from_pydict({"tree": list(range(40)), "held": trees})
+    found = list(ngram_join.small_trees(iter([batch])))
+    assert max(b.num_rows for b in found) <= 1000
+    pairs = [(r["u"], r["v"], r["tree"]) for b in found for r in b.to_pylist()]
+    assert set(pairs) == {(64 * t + i, 64 * t + k, t) for t in range(40) for k in range(64) for i in range(k) if i // 2 != k // 2}
+    assert len(pairs) == len(set(pairs))
+    assert max(b.num_rows for b in ngram_join.pieces(iter([batch]), 1 << 12)) < 40
+
+
+def test_merged_labels_are_the_smallest(session):
+    labels = session.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 6)], "rep long, component long")
+    links = session.createDataFrame([(4, 5), (2, 3), (4, 3)], "u long, v long")
+    assert {(r.rep, r.component) for r in ngram_join.merged(labels, links).collect()} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)}
+
+
 def test_near_copies_of_a_text_that_a_row_without_an_id_has_too(session):
     words = [f"w{i}" for i in range(80)]
     text, near = " ".join(words), " ".join([*words[:-1], "other"])
