@@ -59,7 +59,7 @@ LEAF = 64
 #: Most rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
 ROUNDS, SOME, OFFERS = 4, 8, 3
 #: A round that links no more than one in so many documents is the last.
-FEW = 100
+FEW = 20
 #: Largest set the classes are laid out for.
 LARGEST = 1 << 40
 #: What a count of a cell says at most; so many or more.
