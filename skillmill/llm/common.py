@@ -59,6 +59,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrow(df: DataFrame) -> DataFrame:
+    """``df`` in an eighth of the shuffle partitions, but no fewer than there are cores.
+
+    For rows of a few numbers each: their tasks take longer to start than to run, and many small files seem too large to broadcast.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, partitions(spark) // 8))
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores before it as keep it from being one of the columns."""
     taken = {c.lower() for c in df.columns}
@@ -169,14 +178,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     shared folder; nothing is gathered on the driver.
     """
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    live = stored(both.where("u <> v").distinct(), name)
+    live = stored(narrow(both.where("u <> v").distinct()), name)
     labels = None
     while not live.isEmpty():
-        hook = stored(
-            live.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
-            .select("node", F.least("node", "least").alias("root")),
-            name,
-        )
+        least = live.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
+        hook = stored(narrow(least.select("node", F.least("node", "least").alias("root"))), name)
         if labels is None:
             labels = hook.select("node", F.col("root").alias("component"))
         else:
@@ -184,14 +190,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             labels = labels.join(step, "component", "left").select(
                 "node", F.coalesce("root", "component").alias("component")
             )
-        labels = stored(labels, name)
+        labels = stored(narrow(labels), name)
         left = hook.select(F.col("node").alias("u"), F.col("root").alias("a"))
         right = hook.select(F.col("node").alias("v"), F.col("root").alias("b"))
-        live = stored(
-            live.join(left, "u").join(right, "v").where("a <> b")
-            .select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
-            name,
-        )
+        between = live.join(left, "u").join(right, "v").where("a <> b")
+        live = stored(narrow(between.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()), name)
     if labels is None:
         return live.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return labels

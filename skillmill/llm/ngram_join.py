@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skillmill.llm.common import blocks, components, partitions, stored
+from skillmill.llm.common import blocks, components, narrow, partitions, stored
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MULTIPLIERS = np.array(
@@ -54,8 +54,8 @@ _MULTIPLIERS = np.array(
 SPARE = 1.125
 #: Cells each group is cut into where points are compared.
 FINE = 8
-#: Points of a leaf, about.
-LEAF = 64
+#: Points of a leaf, about, and of one whose points have no more than ``SHORT`` shingles; trees of up to ``LEAF`` points are one leaf.
+LEAF, WIDE, SHORT = 64, 1024, 1024
 #: Most rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
 ROUNDS, SOME, OFFERS = 4, 8, 3
 #: A round that links no more than one in so many documents is the last.
@@ -355,7 +355,7 @@ def linked(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
                 keep.append(100 * common >= shape.percent * (len(a) + len(b) - common) and common > 0)
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    seen = met(stored(pairs, "pairs"), by_tree(docs), ["tree"], ["n", "counts"])
+    seen = met(stored(narrow(pairs), "pairs"), by_tree(docs), ["tree"], ["n", "counts"])
     passed = stored(seen.mapInArrow(bound, "u long, v long"), "passed")
     return met(passed, docs, [], ["shingles"]).mapInArrow(exact, "u long, v long")
 
@@ -404,13 +404,13 @@ def small_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from pairs.out(last=True)
 
 
-LEAF_ROW = "key long, tree long, leaf long, reps binary, comps binary, sizes binary, counts binary, most binary, keys binary, owners binary"
+LEAF_ROW = "key long, tree long, leaf long, only long, reps binary, comps binary, sizes binary, counts binary, most binary, keys binary, owners binary"
 
 
 def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per leaf: its points and its bounding box."""
+    """A row per leaf: its points, its bounding box and the component that all its points are of, if there is one."""
     for batch in pieces(batches):
-        out = []
+        out, only = [], []
         for rows in batch.column("held").to_pylist():
             x = listed(rows)
             counts = np.stack([np.frombuffer(r["counts"], np.uint8) for r in rows])
@@ -421,10 +421,11 @@ def packed_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             most = np.full_like(groups[0], sizes.max()) if full else groups.max(0)
             keys = np.concatenate([np.array(r["keys"], dtype=np.int64) for r in rows])
             owners = np.repeat(np.arange(len(rows)), [len(r["keys"]) for r in rows])
+            only.append(int(x["component"][0]) if (x["component"] == x["component"][0]).all() else None)
             out.append([a.tobytes() for a in (x["rep"], x["component"], sizes, counts, most, keys, owners)])
         own = [batch.column(c) for c in ("key", "tree", "leaf")]
         made = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.binary())] * 7
-        yield pa.RecordBatch.from_arrays([*own, *made], [x.split()[0] for x in LEAF_ROW.split(", ")])
+        yield pa.RecordBatch.from_arrays([*own, pa.array(only, pa.int64()), *made], [x.split()[0] for x in LEAF_ROW.split(", ")])
 
 
 def leaf_pairs(shape: Shape):
@@ -444,17 +445,19 @@ def leaf_pairs(shape: Shape):
                     continue
                 x, y = (np.frombuffer(held[f"{s}_counts"][i], np.uint8).reshape(len(p["reps"]), -1) for s, p in (("a", a), ("b", b)))
                 same = held["a_leaf"][i] == held["b_leaf"][i]
+                earlier = np.flatnonzero(b["keys"] < held["key"][i])
+                earlier = earlier[np.argsort(b["keys"][earlier], kind="stable")]
+                keys, owners = b["keys"][earlier], b["owners"][earlier]
+                begin = np.searchsorted(a["owners"], np.arange(len(x) + 1))
                 for k in range(len(x)):
                     enough = a["comps"][k] != b["comps"]
                     if same:
                         enough[: k + 1] = False
                     if not enough.any():
                         continue
-                    mine = a["keys"][a["owners"] == k]
-                    earlier = np.sort(mine[mine < held["key"][i]])
-                    if len(earlier):
-                        place = np.minimum(np.searchsorted(earlier, b["keys"]), len(earlier) - 1)
-                        enough[b["owners"][earlier[place] == b["keys"]]] = False
+                    mine = a["keys"][begin[k] : begin[k + 1]]
+                    for first, last in zip(np.searchsorted(keys, mine), np.searchsorted(keys, mine, "right"), strict=True):
+                        enough[owners[first:last]] = False
                     at = np.flatnonzero(enough)
                     at = at[may_link(x[k], y[at], shape.needed(a["sizes"][k], b["sizes"][at]))]
                     pairs.add(np.full(len(at), a["reps"][k]), b["reps"][at], held["tree"][i])
@@ -479,8 +482,9 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
     large = open_.where(F.col("n_key") > LEAF)
     size = large.groupBy("key", "component").agg(F.count("*").alias("n_comp"))
     # Leaves hold whole components where these are small, slices of them where they are large.
-    leaf = F.pmod(F.xxhash64("component"), F.ceil(F.col("n_key") / LEAF).cast("long")) * F.lit(1 << 20) + F.pmod(
-        F.xxhash64("rep"), F.least(F.ceil(F.col("n_comp") / LEAF), F.lit(1 << 20)).cast("long")
+    most = F.when(F.col("tree") <= int(shape.classes(np.array([SHORT]))[0]), WIDE).otherwise(LEAF)
+    leaf = F.pmod(F.xxhash64("component"), F.ceil(F.col("n_key") / most).cast("long")) * F.lit(1 << 20) + F.pmod(
+        F.xxhash64("rep"), F.least(F.ceil(F.col("n_comp") / most), F.lit(1 << 20)).cast("long")
     )
     # A document is in no more trees than it has groups.
     of = large.groupBy("rep").agg(F.collect_list("key").alias("keys"))
@@ -492,7 +496,8 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
         held = [c for c in leaves.columns if c not in ("key", "tree")]
         return leaves.select("key", *more, *[F.col(c).alias(f"{s}_{c}") for c in held])
 
-    opened = side("a", "tree").join(side("b"), "key").where("a_leaf <= b_leaf")
+    apart = F.coalesce(F.col("a_only") != F.col("b_only"), F.lit(True))
+    opened = side("a", "tree").join(side("b"), "key").where("a_leaf <= b_leaf").where(apart).drop("a_only", "b_only")
     return met.union(opened.mapInArrow(leaf_pairs(shape), pairs)).groupBy("u", "v").agg(F.min("tree").alias("tree"))
 
 
@@ -528,7 +533,7 @@ def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
     votes = named.join(pivot, "key").where("component <> other").groupBy("component", "u", "rep", "tree").agg(F.count("*").alias("votes"))
     order = Window.partitionBy("component").orderBy(F.desc("votes"), "u", "rep", "tree")
     best = votes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= (1 if round_ == 0 else OFFERS))
-    return best.select("u", F.col("rep").alias("v"), "tree").distinct()
+    return best.select("u", F.col("rep").alias("v"), "tree")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -536,7 +541,7 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     of = {s: labels.select(F.col("rep").alias(s), F.col("component").alias(f"{s}_of")) for s in "uv"}
     between = links.join(of["u"], "u").join(of["v"], "v").select(F.col("u_of").alias("u"), F.col("v_of").alias("v"))
     joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
-    return stored(labels.join(joined, "component", "left").select("rep", F.coalesce("to", "component").alias("component")), "labels")
+    return stored(narrow(labels.join(joined, "component", "left").select("rep", F.coalesce("to", "component").alias("component"))), "labels")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85) -> DataFrame:
@@ -555,7 +560,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("h1"), F.col("c").alias("n_key"))
     trees = stored(rarest(members.join(classes.drop("n"), "h1")), "rarest")
-    nodes = trees.select("rep").distinct()
+    nodes = stored(narrow(trees.select("rep").distinct()), "nodes")
     chosen = texts.join(nodes, texts.doc_id == nodes.rep, "left_semi")
     columns = "rep long, n long, class long, own binary, back binary, shingles binary"
     # An id with several texts is a point for each of them.

@@ -82,6 +82,27 @@ def test_more_values_than_a_small_range_has(session):
     assert len(set(numbers)) == len(phones) and not set(numbers) & set(phones)
 
 
+def test_rounds_of_components_take_few_tasks(session):
+    """Tables of a few numbers a row are not dealt over all shuffle partitions again and again."""
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = [session.conf.get(n) for n in names]
+    context = session.sparkContext
+    pairs = session.createDataFrame([(i % 3, i) for i in range(3, 60)], "u long, v long").coalesce(1)
+    try:
+        for n, value in zip(names, ["200", "false"], strict=True):
+            session.conf.set(n, value)
+        context.setJobGroup("few tasks", "")
+        found = {r.node: r.component for r in components(pairs).collect()}
+    finally:
+        for n, value in zip(names, before, strict=True):
+            session.conf.set(n, value)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {i: i % 3 for i in range(60)}
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few tasks") for s in tracker.getJobInfo(j).stageIds}
+    assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 25
+
+
 def test_components_are_those_of_a_search(session):
     random.seed(2)
     pairs = [(random.randint(0, 60), random.randint(0, 60)) for _ in range(45)]
@@ -370,6 +391,24 @@ def test_near_components(session, edge, empty):
     assert ngram_join.near_components(empty).count() == 0
 
 
+def test_trees_of_many_leaves(session, monkeypatch):
+    """Several groups of near copies around one passage, in leaves of a few points, some of them of one component."""
+    for name, value in {"LEAF": 8, "WIDE": 16, "ROUNDS": 1}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    random.seed(12)
+    shared, rows = [f"s{i}" for i in range(90)], []
+    for group in range(6):
+        base = [*shared, *[f"g{group}x{i}" for i in range(14)]]
+        for i in range(20):
+            words = list(base)
+            for _ in range(random.randint(0, 3)):
+                words[random.randrange(len(words))] = f"n{random.randint(0, 10**6)}"
+            rows.append((100 * group + i, " ".join(words)))
+    docs = session.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOC)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_components(docs).collect())
+    assert found == jaccard_components(rows, 4, 85)
+
+
 def test_a_row_without_an_id_takes_no_place_in_its_block():
     words = [f"w{i}" for i in range(80)]
     text, near = " ".join(words), " ".join([*words[:-1], "other"])
