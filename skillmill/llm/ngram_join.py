@@ -56,8 +56,9 @@ SPARE = 1.125
 FINE = 8
 #: Points of a leaf, about, and of one whose points have no more than ``SHORT`` shingles; trees of up to ``LEAF`` points are one leaf.
 LEAF, WIDE, SHORT = 64, 1024, 1024
-#: Most rounds that connect components over one in ``SOME`` trees, and pairs of a component in the later ones.
-ROUNDS, SOME, OFFERS = 4, 8, 3
+#: Most rounds that connect components over one in ``SOME`` trees, the later ones over all trees that are no single leaf as well, and
+#: pairs of a component in these.
+ROUNDS, SOME, OFFERS = 4, 8, 8
 #: A round that links no more than one in so many documents is the last.
 FEW = 20
 #: Largest set the classes are laid out for.
@@ -502,7 +503,7 @@ def tree_join(trees: DataFrame, labels: DataFrame, docs: DataFrame, shape: Shape
 
 
 def rarest(held: DataFrame) -> DataFrame:
-    """(key, rep, tree): of the shared keys (key, n_key, h1, rep, own, back), those among which linked documents must meet.
+    """(key, rep, tree, holders): of the shared keys (key, n_key, h1, rep, own, back), those among which linked documents must meet.
 
     A set's keys stand in one order for all sets, the rarest first; ``own`` and ``back`` say
     how many at the end of it can be left out.
@@ -515,9 +516,9 @@ def rarest(held: DataFrame) -> DataFrame:
     )
     # Each of them is used twice, so they are written rather than ranked again.
     kept = stored(ranked.where(F.col("nth") <= F.col("n_tree") - spare).select("key", "rep", "tree"), "kept")
-    several = kept.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
+    several = kept.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("holders"))
     # An id with several texts may hold a key more than once.
-    return kept.join(several, "key").dropDuplicates(["key", "rep", "tree"])
+    return kept.join(several.where("lo < hi").select("key", "holders"), "key").dropDuplicates(["key", "rep", "tree"])
 
 
 def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
@@ -531,7 +532,8 @@ def star_pairs(trees: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by(F.struct("rep", "component"), lot).alias("pivot")
     ).where("lo < hi").select("key", F.col("pivot.rep").alias("u"), F.col("pivot.component").alias("other"))
     votes = named.join(pivot, "key").where("component <> other").groupBy("component", "u", "rep", "tree").agg(F.count("*").alias("votes"))
-    order = Window.partitionBy("component").orderBy(F.desc("votes"), "u", "rep", "tree")
+    # Where several share as many trees, each component takes others, as one document may be linked with few.
+    order = Window.partitionBy("component").orderBy(F.desc("votes"), F.xxhash64("component", "u", F.lit(round_)), "u", "rep", "tree")
     best = votes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= (1 if round_ == 0 else OFFERS))
     return best.select("u", F.col("rep").alias("v"), "tree")
 
@@ -567,16 +569,18 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     vectors = stored(chosen.mapInArrow(points(shape, shingle), columns).dropDuplicates(["rep", "shingles"]), "points")
 
     # Similar documents share most of their trees, so some of the trees are enough to connect most of them.
-    some = stored(trees.where(F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0), "some")
+    # In large trees the pairs that these rounds leave grow with the square of a component, so all of those take part.
+    lot = F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0
+    some = [stored(trees.where(which), "some") for which in (lot, lot | (F.col("holders") > LEAF))]
     labels = nodes.select("rep", F.col("rep").alias("component"))
     enough = nodes.count() // FEW
     for round_ in range(ROUNDS):
-        new = stored(linked(star_pairs(some, labels, round_), vectors, shape), "links")
+        new = stored(linked(star_pairs(some[min(round_, 1)], labels, round_), vectors, shape), "links")
         labels = merged(labels, new)
         # Where a round finds few links there are few components left to connect.
         if new.count() <= enough:
             break
-    labels = merged(labels, stored(linked(tree_join(trees, labels, vectors, shape), vectors, shape), "links"))
+    labels = merged(labels, stored(linked(tree_join(trees.drop("holders"), labels, vectors, shape), vectors, shape), "links"))
 
     final = classes.join(labels, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("smallest"))
     return info.join(final, ["h1", "h2"], "left").select(
