@@ -19,7 +19,7 @@ import corpus_pipeline
 from skillmill.llm import (
     ann_partitions, bin_slack, edit_tokens, line_windows, ngram_join, queries, sp_bpe, surrogates, toxicity, va_search,
 )
-from skillmill.llm.common import components, ship, table
+from skillmill.llm.common import components, ship, stored, table
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -222,6 +222,61 @@ def test_va_search_is_exact(session):
     assert va_search.search(df.limit(0), df.limit(0), 5).count() == 0
 
 
+def test_va_search_broadcasts_neither_vectors_nor_blocks(session, monkeypatch):
+    """The copies of the queries for the slices are many times the size of their file, by which Spark would choose."""
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(va_search, "stored", kept)
+    _, df = vectors(session)
+    assert va_search.search(df, df.where("vec_id % 20 = 0"), 5).count() == 5 * 17
+    assert len(plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("bits", [6, 10])
+def test_va_search_over_several_slices_and_groups(session, monkeypatch, bits):
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((40, 6))
+    values = np.float32(np.concatenate([rng.standard_normal((2_400, 6)), centres[rng.integers(0, 40, 2_400)] + 0.01 * rng.standard_normal((2_400, 6))]))
+    df = session.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "vec_id long, embedding array<float>").repartition(8)
+    monkeypatch.setattr(va_search, "cuts", lambda *_: (5, 3))
+    found = defaultdict(list)
+    for r in va_search.search(df, df.where("vec_id % 2 = 0"), 5, bits=bits).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    whole = np.floor(256 * values.astype(float))
+    for q in range(0, len(whole), 2):
+        score = whole @ whole[q]
+        score[q] = -np.inf
+        best = np.lexsort((np.arange(len(whole)), -score))[:5]
+        assert sorted(found[q]) == [(n, j, score[j]) for n, j in enumerate(best, 1)]
+
+
+def test_slices_and_groups_follow_the_bytes():
+    for vectors_, queries_, parts in ((0, 0, 24), (500, 10, 24), (50_000, 1_000, 24), (615_384, 12_308, 24), (615_384, 12_308, 4_000), (10**8, 2 * 10**6, 24), (500, 10**7, 24)):
+        slices, groups = va_search.cuts(vectors_, queries_, 88, 536, parts)
+        assert slices >= 1 and groups >= 1
+        assert 88 * vectors_ <= va_search.MOST_FILE * slices and 536 * queries_ <= va_search.MOST_ASKED * groups
+        # What is copied is some times the tables, not a copy of the queries for each of many partitions.
+        if max(slices * groups, parts) <= 24:
+            assert 88 * vectors_ * groups + 536 * queries_ * slices <= 2 * 24**0.5 * (88 * vectors_ + 536 * queries_)
+
+
+def test_the_highest_products_of_blocks():
+    rng = np.random.default_rng(13)
+    highest, all_keys, all_scores = va_search.Highest(7, 4), [], []
+    for size in (2, 1, 30, 5):
+        keys, score = rng.integers(0, 10**9, (size, 2)), rng.standard_normal((7, size))
+        highest.add(keys, score)
+        all_keys, all_scores = [*all_keys, *keys], [*all_scores, *score.T]
+        best = np.argsort(-np.array(all_scores).T, axis=1)[:, :4]
+        for i, places in enumerate(best):
+            held = [(s, *k) for s, k in zip(highest.scores[i], highest.keys[i], strict=True) if s > -np.inf]
+            assert sorted(held) == sorted((all_scores[j][i], *all_keys[j]) for j in places)
+
+
 def test_learned_partitions_find_most(session):
     rows, df = vectors(session)
     found = defaultdict(list)
