@@ -180,6 +180,12 @@ def possible(least: np.ndarray, width: np.ndarray, kind: type):
     return run
 
 
+def narrowest(least: np.ndarray, width: np.ndarray, bits: int) -> str:
+    """The narrowest type that holds every whole number on the grid."""
+    most = max(np.abs(least).max(initial=0), np.abs(least + width * (1 << bits)).max(initial=0))
+    return "smallint" if most < 1 << 15 else "int" if most < 1 << 31 else "double"
+
+
 def exact(pairs: DataFrame, vectors: DataFrame, asked: DataFrame) -> DataFrame:
     """The pairs with their inner products, read from the exact vectors.
 
@@ -214,6 +220,8 @@ def search(
         vectors.count(), asked.count(), 24 + numbers * np.dtype(kind).itemsize, 24 + 8 * numbers, 4 * spark.sparkContext.defaultParallelism
     )
     none = F.lit(float("-inf"))
+    # The vectors of the pairs are shuffled twice; narrow numbers take a part of what doubles take.
+    read = vectors.withColumn("v", F.col("v").cast(f"array<{narrowest(least, width, bits)}>"))
     file = dealt(vectors.withColumn("kth", none), "slice", slices, cells(least, width, kind))
 
     def blocks(rows: DataFrame) -> DataFrame:
@@ -223,9 +231,9 @@ def search(
     found = scan(file, blocks(asked.withColumn("kth", none)), slices, groups, promising(least, width, kind, k + 1), f"{PAIR}, centre double")
     by_bound = Window.partitionBy("q1", "q2").orderBy(F.desc("centre"), "k1", "k2")
     first = found.withColumn("nth", F.row_number().over(by_bound)).where(F.col("nth") <= k + 1)
-    first = stored(exact(first.select("q1", "q2", "k1", "k2"), vectors, asked), "first")
+    first = stored(exact(first.select("q1", "q2", "k1", "k2"), read, asked), "first")
     kth = first.groupBy("q1", "q2").agg(F.min("score").alias("score"), F.count("*").alias("n"))
     kth = kth.select("q1", "q2", F.when(F.col("n") > k, F.col("score").cast("double")).otherwise(none).alias("kth"))
     bounded = asked.join(kth.hint("merge"), ["q1", "q2"])
     pairs = scan(file, blocks(bounded), slices, groups, possible(least, width, kind), PAIR)
-    return expanded(exact(pairs, vectors, asked), vectors.hint("merge"), rows, k)
+    return expanded(exact(pairs, read, asked), vectors.hint("merge"), rows, k)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -264,6 +265,20 @@ def test_slices_and_groups_follow_the_bytes():
             assert 88 * vectors_ * groups + 536 * queries_ * slices <= 2 * 24**0.5 * (88 * vectors_ + 536 * queries_)
 
 
+@pytest.mark.parametrize("most, kind", [(100, "smallint"), (10**6, "int"), (3 * 10**9, "double")])
+def test_va_search_of_large_numbers(session, most, kind):
+    rows = [(i, [float((i * 37 % 101 - 50) * most / 50), float(i * i % 17)]) for i in range(101)]
+    df = session.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert va_search.narrowest(*va_search.grid(df.select(F.col("embedding").alias("v")), 6), 6) == kind
+    found = defaultdict(list)
+    for r in va_search.search(df, df.where("vec_id % 10 = 0"), 5, scale=1.0).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    whole = [[math.floor(x) for x in v] for _, v in rows]
+    for q in range(0, 101, 10):
+        best = sorted((-sum(int(float(a) * b) for a, b in zip(whole[q], w, strict=True)), i) for i, w in enumerate(whole) if i != q)[:5]
+        assert sorted(found[q]) == [(n, i, -score) for n, (score, i) in enumerate(best, 1)]
+
+
 def test_the_highest_products_of_blocks():
     rng = np.random.default_rng(13)
     highest, all_keys, all_scores = va_search.Highest(7, 4), [], []
