@@ -105,7 +105,8 @@ def scan(file: DataFrame, asked: DataFrame, slices: int, groups: int, visit: Cal
         file.withColumn("group", every(groups)).withColumn("of_file", F.lit(True))
     )
     parts = both.withColumn("part", F.col("slice") * groups + F.col("group")).drop("slice", "group")
-    return parts.repartition(slices * groups, "part").sortWithinPartitions("part", "of_file").mapInArrow(visit, schema)
+    tasks = max(file.sparkSession.sparkContext.defaultParallelism, slices * groups)
+    return parts.repartition(tasks, "part").sortWithinPartitions("part", "of_file").mapInArrow(visit, schema)
 
 
 def margin(q: np.ndarray, width: np.ndarray) -> np.ndarray:
